@@ -1,9 +1,19 @@
-"""Queries of the core."""
+"""All queries of the core, and SQL for those that SQL can express."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
 
-def oracle_sql():
-    return {}
+from .plans import data_queries
+
+_PARTS = (data_queries,)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: f for part in _PARTS for name, f in part.queries().items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: text for part in _PARTS for name, text in part.oracle_sql().items()}
