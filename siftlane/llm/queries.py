@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import bpe, formatting, frequent, overlap, packing
+from . import bpe, formatting, frequent, overlap, packing, truncation
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +67,16 @@ def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.judge(table(spark, sf_dir, "documents")).filter("truncated").select("doc_id")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.shares(truncation.judge(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p2_found, p2_rules, p4_found, p4_counts, p5_found, p5_overlaps, p5_by_run, p6_ids, p7_packed)
+    own = (p2_found, p2_rules, p4_found, p4_counts, p5_found, p5_overlaps, p5_by_run, p6_ids, p7_packed, p8_found, p8_shares)
     return {f.__name__: f for f in own}
 
 
