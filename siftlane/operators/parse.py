@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domains as D
+from ..functions.stages import computed
 
 #: Modifiers that name resolution knows.
 FLAGS = ["important", "badfilter"]
@@ -83,20 +84,20 @@ def parse(lines: DataFrame, options: ParseOptions = ParseOptions()) -> DataFrame
     pattern, quality, and none for lines of no known form. A null line is blank.
     """
     s = F.col("_s")
-    stripped = lines.select("source_ord", "line_no", "category", D.strip_space(F.coalesce("line", F.lit(""))).alias("_s"))
+    stripped = computed(lines.select("source_ord", "line_no", "category", "line"), {"_s": D.strip_space(F.coalesce("line", F.lit("")))})
     early = F.when(s == "", "blank").when(s.rlike(COMMENT), "comment").when(s.rlike(COSMETIC), "css").when(s.rlike(ADDRESS), "url")
+    stage = computed(stripped, {"_early": early, "_pattern": s.rlike(PATTERN)})
+    rule = F.col("_early").isNull() & ~F.col("_pattern")
     has = s.contains("$")
-    stage = stripped.withColumn("_early", early).withColumn("_pattern", F.col("_early").isNull() & s.rlike(PATTERN))
     text, dropped = _modifiers(F.when(has, F.regexp_replace(s, r"(?s)^[^$]*\$", "")).otherwise(""))
-    rule = F.col("_early").isNull() & ~F.col("_pattern")
-    split = stage.withColumns({"_b": F.when(has, D.strip_space(F.substring_index("_s", "$", 1))).otherwise(s), "_m": text, "_x": rule & dropped})
+    split = computed(stage, {"_b": F.when(has, D.strip_space(F.substring_index("_s", "$", 1))).otherwise(s), "_m": F.when(rule & has, text).otherwise(""), "_x": rule & has & dropped})
     b = F.col("_b")
     form = F.when(b.rlike(ALLOW), "allow").when(b.rlike(BLOCK), "block").when(b.rlike(HOSTS_4), "hosts4").when(b.rlike(HOSTS_6), "hosts6").when(b.rlike(WILDCARD), "wildcard").when(b.rlike(PLAIN), "plain")
-    named = split.withColumn("_form", F.when(rule & (b != ""), form))
+    named = computed(split, {"_form": F.when(rule & (b != ""), form)})
     f = F.col("_form")
     text_of = F.when(f == "allow", F.regexp_extract(b, ALLOW, 1)).when(f == "block", F.regexp_extract(b, BLOCK, 1)).when(f == "hosts4", F.regexp_extract(b, HOSTS_4, 1)).when(f == "hosts6", F.regexp_extract(b, HOSTS_6, 1)).otherwise(b)
     rest = F.when(f == "allow", F.regexp_extract(b, ALLOW, 2)).when(f == "block", F.regexp_extract(b, BLOCK, 2)).otherwise("")
-    found = named.withColumns({"_d": D.clean(text_of), "_rest": rest})
+    found = computed(named, {"_d": D.clean(text_of), "_rest": rest})
     d = F.col("_d")
     hosts = f.isin("hosts4", "hosts6")
     bad_star = d.contains("*") & ~(d.startswith("*.") & ~F.expr("substring(_d, 3)").contains("*"))
@@ -111,24 +112,22 @@ def parse(lines: DataFrame, options: ParseOptions = ParseOptions()) -> DataFrame
         .when(bad_star, "pattern")
         .when(_poor(d, options), "quality")
     )
-    kept = found.withColumn("drop_reason", reason)
-    ok = F.col("drop_reason").isNull()
-    pattern = _pattern_text(s)
-    allow = F.when(F.col("_pattern"), s.startswith("@@")).otherwise(f == "allow")
+    kept = computed(found, {"drop_reason": reason})
+    ok, is_pattern = F.col("drop_reason").isNull(), F.col("_pattern")
+    allow = F.when(is_pattern, s.startswith("@@")).otherwise(f == "allow")
     tail = F.when(F.col("_m") != "", F.concat(F.lit("$"), F.col("_m"))).otherwise("")
-    raw = F.when(F.col("_pattern"), pattern).otherwise(F.concat(F.when(f == "allow", "@@||").otherwise("||"), d, F.lit("^"), tail))
-    return kept.select(
-        "source_ord",
-        "line_no",
-        "category",
-        F.when(ok, F.when(allow, "allow").otherwise("block")).alias("rule_type"),
-        F.when(ok, F.when(F.col("_pattern"), "").otherwise(D.normalize(d, options.strip_www))).alias("domain"),
-        F.when(ok, ~F.col("_pattern") & d.startswith("*.")).alias("wildcard"),
-        F.when(ok, F.when(F.col("_pattern"), "").otherwise(F.col("_m"))).alias("modifiers"),
-        F.when(ok, raw).alias("raw"),
-        F.col("_x").alias("modifier_stripped"),
-        "drop_reason",
+    raw = F.when(is_pattern, _pattern_text(s)).otherwise(F.concat(F.when(f == "allow", "@@||").otherwise("||"), d, F.lit("^"), tail))
+    done = computed(
+        kept,
+        {
+            "rule_type": F.when(ok, F.when(allow, "allow").otherwise("block")),
+            "domain": F.when(ok, F.when(is_pattern, "").otherwise(D.normalize(d, options.strip_www))),
+            "wildcard": F.when(ok, ~is_pattern & d.startswith("*.")),
+            "modifiers": F.when(ok, F.when(is_pattern, "").otherwise(F.col("_m"))),
+            "raw": F.when(ok, raw),
+        },
     )
+    return done.select("source_ord", "line_no", "category", "rule_type", "domain", "wildcard", "modifiers", "raw", F.col("_x").alias("modifier_stripped"), "drop_reason")
 
 
 def rules_of(parsed: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import data_queries
+from .plans import data_queries, rule_queries
 
-_PARTS = (data_queries,)
+_PARTS = (rule_queries, data_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
