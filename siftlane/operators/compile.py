@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domains as D
+from ..runtime import settle
 
 KEY = ["rule_type", "domain", "wildcard", "modifiers", "pattern"]
 #: First labels of machines that are numbered through.
@@ -272,16 +273,19 @@ class Compiled:
 
 
 def compile_rules(rules: DataFrame, o: CompileOptions = CompileOptions(), suffixes: DataFrame | None = None) -> Compiled:
-    """Parsed rules to the final rule set."""
+    """Parsed rules to the final rule set.
+
+    Each stage that several later ones read is written to the checkpoint folder once.
+    """
     columns = ["rule_type", "domain", "wildcard", "modifiers", "raw", "category", "source_ords"]
-    deduped = dedup(rules)
-    cleared = badfilter(deduped.select(*columns))
+    deduped = settle(dedup(rules))
+    cleared = settle(badfilter(deduped.select(*columns)))
     blocks, allows = split(cleared)
     folded = None
     if o.folding:
-        folded = fold(blocks, allows, o.fold, cancelled(deduped.select(*columns)), suffixes)
+        folded = Folded(settle(fold(blocks, allows, o.fold, cancelled(deduped.select(*columns)), suffixes).marked))
         blocks = (fold_provenance(folded, o.fold) if o.provenance else folded.survivors).select(*columns)
-    found = conflicts(blocks, allows, o.cascade)
+    found = settle(conflicts(blocks, allows, o.cascade))
     if o.resolve_conflicts:
         blocks = without_conflicts(blocks, found)
     return Compiled(deduped, cleared, folded, found, blocks, allows)

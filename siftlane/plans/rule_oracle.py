@@ -83,10 +83,10 @@ pm AS (SELECT parent, count(*) AS children, sum(regexp_matches(regexp_extract(do
   HAVING NOT EXISTS (SELECT 1 FROM bl WHERE bl.modifiers = '' AND bl.domain = sib.parent) AND NOT EXISTS (SELECT 1 FROM cancelled c WHERE c.wildcard AND c.domain = sib.parent))"""
 
 _CONFLICTS = r"""
-ca AS (SELECT domain AS up, wildcard AS bw, min({{'m': modifiers, 'o': ords}}) AS by FROM al WHERE domain <> '' GROUP BY 1, 2),
+ca AS (SELECT domain AS up, wildcard AS bw, min({{'m': modifiers, 'o': ords}}) AS aw FROM al WHERE domain <> '' GROUP BY 1, 2),
 cb AS (SELECT * FROM {blocks} WHERE domain <> '' AND NOT list_contains(string_split(modifiers, ','), 'important')),
 cu AS (SELECT domain, i AS depth, array_to_string(lb[i + 1:], '.') AS up FROM (SELECT DISTINCT domain, string_split(domain, '.') AS lb FROM cb), unnest(range(0, 20)) u(i) WHERE i < len(lb)),
-cm AS (SELECT cu.domain, arg_min({{'kind': CASE WHEN depth = 0 THEN 'exact' WHEN bw THEN 'wildcard' ELSE 'cascade' END, 'up': cu.up, 'bw': bw, 'by': by}}, (depth, NOT bw)) AS m
+cm AS (SELECT cu.domain, arg_min({{'kind': CASE WHEN depth = 0 THEN 'exact' WHEN bw THEN 'wildcard' ELSE 'cascade' END, 'up': cu.up, 'bw': bw, 'aw': aw}}, (depth, NOT bw)) AS m
   FROM cu JOIN ca ON ca.up = cu.up WHERE (depth > 0 OR NOT bw) AND ({cascade} OR depth = 0 OR bw) GROUP BY 1),
 cf AS (SELECT cb.*, m FROM cb JOIN cm USING (domain)),
 fb AS (SELECT * FROM {blocks} x WHERE NOT EXISTS (SELECT 1 FROM cf WHERE cf.domain = x.domain AND cf.wildcard = x.wildcard AND cf.modifiers = x.modifiers AND cf.raw = x.raw)),
@@ -178,7 +178,7 @@ def _diff(first: str, second: str) -> str:
 
 
 _RECORDS = f"""SELECT domain, {_TEXT.format(p='')} AS blocked_rule, category AS blocked_category, array_to_string(ords, ',') AS blocked_sources,
-  '@@||' || CASE WHEN m.bw THEN '*.' ELSE '' END || m.up || '^' || CASE WHEN m.by.m <> '' THEN '$' || m.by.m ELSE '' END AS whitelist_rule, array_to_string(m.by.o, ',') AS whitelist_sources, m.kind AS conflict_type FROM cf"""
+  '@@||' || CASE WHEN m.bw THEN '*.' ELSE '' END || m.up || '^' || CASE WHEN m.aw.m <> '' THEN '$' || m.aw.m ELSE '' END AS whitelist_rule, array_to_string(m.aw.o, ',') AS whitelist_sources, m.kind AS conflict_type FROM cf"""
 
 _CACHE = r"""WITH z AS (SELECT * FROM cache_entries WHERE url IS NOT NULL AND snapshot_no = (SELECT max(snapshot_no) FROM cache_entries)
   QUALIFY row_number() OVER (PARTITION BY url ORDER BY fetched_at DESC, coalesce(content_hash, '') DESC, coalesce(size_bytes, 0) DESC) = 1)
@@ -206,7 +206,7 @@ def oracle_sql() -> dict[str, str]:
         "fold_wildcard": _with(*_fold()) + "SELECT domain, wildcard, CASE WHEN self_exact THEN domain ELSE keeper.d END AS keeper_domain, CASE WHEN self_exact THEN false ELSE keeper.w END AS keeper_wildcard FROM fo WHERE fate = 'wildcard'",
         "promote_count": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 5",
         "promote_pattern": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 3 AND numbered >= 0.4 * children",
-        "promote_guarded": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 3 AND NOT (parent LIKE '%.test.net' AND regexp_matches(parent, '^d[0-9]+\\.') AND regexp_extract(parent, '^d([0-9]+)', 1)::INTEGER % 2 = 0)",
+        "promote_guarded": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 3 AND NOT (parent LIKE '%.test.net' AND regexp_matches(parent, '^d[0-9]+\\.') AND coalesce(try_cast(regexp_extract(parent, '^d([0-9]+)', 1) AS INTEGER), 1) % 2 = 0)",
         "conflicts_all": _with(*_unfolded(True)) + _RECORDS,
         "conflicts_nocascade": _with(*_unfolded(False)) + _RECORDS,
         "conflict_type_counts": _with(*_final()) + "SELECT m.kind AS conflict_type, count(*) AS rules FROM cf GROUP BY 1",

@@ -15,7 +15,7 @@ from ..operators import parse as P
 from ..operators import stats as S
 from ..sources import cache, files
 from ..sources.fixture import rule_lines
-from ..runtime import table
+from ..runtime import settle, table
 from . import exports, rule_oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,8 +125,8 @@ def ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fold(spark: SparkSession, sf_dir: str, suffixes: DataFrame | None = None, **o: object) -> K.Folded:
-    rules = K.dedup(_rules(spark, sf_dir))
-    blocks, allows = K.split(K.badfilter(rules))
+    rules = settle(K.dedup(_rules(spark, sf_dir)))
+    blocks, allows = K.split(settle(K.badfilter(rules)))
     return K.fold(blocks, allows, K.FoldOptions(**o), K.cancelled(rules), suffixes)  # type: ignore[arg-type]
 
 
@@ -155,8 +155,8 @@ def fold_counters_promoting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _promotions(spark: SparkSession, sf_dir: str, suffixes: DataFrame | None = None, **o: object) -> DataFrame:
-    rules = K.dedup(_rules(spark, sf_dir))
-    blocks, _ = K.split(K.badfilter(rules))
+    rules = settle(K.dedup(_rules(spark, sf_dir)))
+    blocks, _ = K.split(settle(K.badfilter(rules)))
     found = K.promotions(blocks, K.FoldOptions(**o), K.cancelled(rules), suffixes)  # type: ignore[arg-type]
     return found.select("parent", "children", "category", _joined("source_ords").alias("sources"))
 
