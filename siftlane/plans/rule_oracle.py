@@ -253,7 +253,7 @@ SELECT list_name, ip, len(list_filter(x, lambda z: z IN ('scam', 'phishing', 'ma
         "feed_freshness": "SELECT CASE WHEN s < 3600 THEN 'fresh' WHEN s < 21600 THEN 'stale' ELSE 'expired' END AS state, count(*) AS events FROM (SELECT epoch(TIMESTAMP '2024-01-15 00:00:00') - floor(epoch(ts)) AS s FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00') GROUP BY 1",
         "source_errors": "SELECT ['timeout', 'not_found', 'auth', 'dns', 'network', 'timeout', 'unknown'][o_orderkey % 7 + 1] AS kind, count(*) AS sources FROM orders GROUP BY 1",
         "cache_latest": _CACHE + "SELECT url, content_hash, size_bytes FROM z",
-        "cache_eviction": _CACHE + ", s AS (SELECT *, sum(coalesce(size_bytes, 0)) OVER (ORDER BY fetched_at DESC, url ROWS UNBOUNDED PRECEDING) > 200000000 AS gone FROM z) SELECT url, EXISTS (SELECT 1 FROM s k WHERE NOT k.gone AND k.content_hash = s.content_hash) AS content_kept FROM s WHERE gone",
+        "cache_eviction": _CACHE + ", s AS (SELECT *, sum(coalesce(size_bytes, 0)) OVER (ORDER BY fetched_at DESC, url ROWS UNBOUNDED PRECEDING) > 20000000 AS gone FROM z) SELECT url, EXISTS (SELECT 1 FROM s k WHERE NOT k.gone AND k.content_hash = s.content_hash) AS content_kept FROM s WHERE gone",
         "cache_stats": _CACHE + "SELECT count(*) AS entries, coalesce(sum(size_bytes), 0)::BIGINT AS total_bytes, count(DISTINCT content_hash) AS contents FROM z",
         "cache_unchanged": _CACHE + "SELECT url FROM z WHERE EXISTS (SELECT 1 FROM cache_entries c WHERE c.content_hash = z.content_hash AND c.snapshot_no < z.snapshot_no)",
         "enabled_sources": "SELECT source_ord, name, category FROM sources WHERE enabled",

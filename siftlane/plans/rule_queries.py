@@ -477,7 +477,7 @@ def cache_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cache_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = cache.latest(table(spark, sf_dir, "cache_entries"))
-    return cache.evicted(entries, max_bytes=200_000_000).select("url", "content_kept")
+    return cache.evicted(entries, max_bytes=20_000_000).select("url", "content_kept")
 
 
 @query
