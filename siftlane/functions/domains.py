@@ -14,19 +14,29 @@ LOCAL_NAMES = ["localhost", "localhost.localdomain", "localhost6", "localhost6.l
 SECOND_LEVEL = ["co", "com", "net", "org", "gov", "edu"]
 
 
+#: White space of any kind.
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip_space(text: Column) -> Column:
     """Without outer white space of any kind (Spark's ``trim`` takes blanks only)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(SPACE))
+
+
+def _without_dots(text: Column) -> Column:
+    """Without one dot at the end and one at the start."""
+    return F.when(text.startswith(".") | text.endswith("."), F.regexp_replace(F.regexp_replace(text, r"\.$", ""), r"^\.", "")).otherwise(text)
 
 
 def clean(domain: Column) -> Column:
     """Lower case, without outer white space, one dot at the end and one at the start."""
-    return F.regexp_replace(F.regexp_replace(F.lower(strip_space(domain)), r"\.$", ""), r"^\.", "")
+    return _without_dots(F.lower(strip_space(domain)))
 
 
 def normalize(domain: Column, strip_www: bool = False) -> Column:
     """As :func:`clean`, and without ``*.`` in front; with ``strip_www`` without ``www.`` too."""
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(strip_space(domain)), r"^\*\.", ""), r"\.$", ""), r"^\.", "")
+    lowered = F.lower(strip_space(domain))
+    bare = _without_dots(F.when(lowered.startswith("*."), F.regexp_replace(lowered, r"^\*\.", "")).otherwise(lowered))
     return F.regexp_replace(bare, r"^www\.", "") if strip_www else bare
 
 

@@ -46,19 +46,20 @@ def dedup(rules: DataFrame) -> DataFrame:
     ``copies`` counts the rows merged; ``first_raw`` is the raw text of the first by
     source and line; ``other_raw`` counts the rows with another raw text.
     """
-    keyed = rules.withColumn("pattern", F.when(F.col("domain") == "", F.col("raw")).otherwise("")).withColumn("_p", D.priority(F.col("category")))
-    # rows of one raw text are counted before the identity is, so a hot rule shrinks early
-    by_raw = keyed.groupBy(*KEY, "raw").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("source_ord", "line_no")).alias("first"), _least_category().alias("category"), F.collect_set("source_ord").alias("ords"))
+    keyed = rules.withColumn("pattern", F.when(F.col("domain") == "", F.col("raw")).otherwise(""))
+    # equal rows of a source are counted first, with aggregates of fixed size, so a hot rule shrinks on the map side
+    counted = keyed.groupBy(*KEY, "raw", "source_ord", "category").agg(F.count(F.lit(1)).alias("n"), F.min("line_no").alias("line_no"))
+    first = F.struct("source_ord", "line_no")
+    by_raw = counted.withColumn("_p", D.priority(F.col("category"))).groupBy(*KEY, "raw").agg(F.sum("n").alias("n"), F.min(first).alias("first"), _least_category().alias("category"), F.collect_set("source_ord").alias("ords"))
     again = by_raw.withColumn("_p", D.priority(F.col("category")))
     merged = again.groupBy(*KEY).agg(
         F.sum("n").alias("copies"),
         F.min_by("raw", "first").alias("first_raw"),
-        F.sum("n").alias("_n"),
         F.min_by("n", "first").alias("_first_n"),
         _least_category().alias("category"),
         _merged_ords("ords").alias("source_ords"),
     )
-    return merged.select("rule_type", "domain", "wildcard", "modifiers", F.col("pattern").alias("raw"), "category", "source_ords", "copies", "first_raw", (F.col("_n") - F.col("_first_n")).alias("other_raw"))
+    return merged.select("rule_type", "domain", "wildcard", "modifiers", F.col("pattern").alias("raw"), "category", "source_ords", "copies", "first_raw", (F.col("copies") - F.col("_first_n")).alias("other_raw"))
 
 
 def dedup_counters(deduped: DataFrame) -> DataFrame:
@@ -130,13 +131,13 @@ def promotions(blocks: DataFrame, o: FoldOptions, voided: DataFrame | None = Non
 
 @dataclass(frozen=True)
 class Folded:
-    """``marked``: rules with ``fate`` (kept, exact, wildcard, promoted) and ``keeper_domain, keeper_wildcard`` of folded ones."""
+    """``marked``: rules with ``fate`` (kept, exact, wildcard, promoted), ``keeper_domain, keeper_wildcard`` of folded ones, and ``near_domain, near_wildcard``, the nearest covering parent."""
 
     marked: DataFrame
 
     @property
     def survivors(self) -> DataFrame:
-        return self.marked.filter("fate = 'kept'").drop("fate", "keeper_domain", "keeper_wildcard")
+        return self.marked.filter("fate = 'kept'").drop("fate", "keeper_domain", "keeper_wildcard", "near_domain", "near_wildcard")
 
     def counters(self) -> DataFrame:
         count = lambda f: F.count_if(F.col("fate") == f)
@@ -182,7 +183,8 @@ def fold(blocks: DataFrame, allows: DataFrame, o: FoldOptions = FoldOptions(), v
     to_self = (F.col("fate") == "wildcard") & own
     keeper = F.when(F.col("fate") == "promoted", D.immediate_parent(F.col("domain"))).when(to_self, F.col("domain")).when(F.col("fate") != "kept", F.col("_near.up"))
     keeper_wild = F.when(F.col("fate") == "promoted", True).when(to_self, False).when(F.col("fate") != "kept", ~F.col("_near.exact"))
-    return Folded(marked.withColumns({"keeper_domain": keeper, "keeper_wildcard": keeper_wild}).drop("_promoted", "_self", "_near", "_allowed"))
+    near_rule = {"near_domain": F.col("_near.up"), "near_wildcard": ~F.col("_near.exact")}
+    return Folded(marked.withColumns({"keeper_domain": keeper, "keeper_wildcard": keeper_wild, **near_rule}).drop("_promoted", "_self", "_near", "_allowed"))
 
 
 def fold_provenance(folded: Folded, o: FoldOptions = FoldOptions()) -> DataFrame:
@@ -204,6 +206,41 @@ def fold_provenance(folded: Folded, o: FoldOptions = FoldOptions()) -> DataFrame
     return both.groupBy("rule_type", "domain", "wildcard", "modifiers", "raw").agg(_least_category().alias("category"), _merged_ords("source_ords").alias("source_ords"), F.sum("_in").alias("folded_in"))
 
 
+def fold_provenance_stepwise(folded: Folded) -> DataFrame:
+    """As :func:`fold_provenance`, but along keepers only, as a rule-by-rule fold has it.
+
+    What is merged into a rule that went before is lost: into a promoted exact rule,
+    or by a wildcard into an exact rule that was folded. Keepers are followed one
+    level at a time; a chain is at most as long as a domain has labels.
+    """
+    marked = settle(folded.marked.filter("domain <> '' AND modifiers = ''"))
+    fates = marked.select(F.col("domain").alias("to"), F.col("wildcard").alias("to_wild"), F.col("fate").alias("to_fate"))
+    gone = marked.filter("fate <> 'kept'")
+    own = gone.join(fates.filter("NOT to_wild").select(F.col("to").alias("domain"), F.col("to_fate").alias("own_fate")), "domain", "left")
+    to_own = (F.col("fate") == "wildcard") & (F.col("own_fate") == "kept")
+    promoted = F.col("fate") == "promoted"
+    target = F.when(promoted, F.col("keeper_domain")).when(to_own, F.col("domain")).otherwise(F.col("near_domain"))
+    target_wild = F.when(promoted, True).when(to_own, False).otherwise(F.col("near_wildcard"))
+    aimed = own.select("domain", "wildcard", "category", "source_ords", "fate", target.alias("to"), target_wild.alias("to_wild")).join(fates, ["to", "to_wild"], "left")
+    # an exact rule that went before takes nothing on
+    dead = ~F.col("to_wild") & ((F.col("to_fate") == "promoted") | ((F.col("fate") == "wildcard") & (F.col("to_fate") != "kept")))
+    edges = settle(aimed.filter(F.col("to").isNotNull() & ~F.coalesce(dead, F.lit(True))).select("domain", "wildcard", "category", "source_ords", "to", "to_wild", (F.col("to_fate") == "kept").alias("arrived")))
+    step = edges.select(F.col("domain").alias("to"), F.col("wildcard").alias("to_wild"), F.col("to").alias("next"), F.col("to_wild").alias("next_wild"), F.col("arrived").alias("there"))
+    here, rooted = edges, []
+    while True:
+        rooted.append(here.filter("arrived").select("to", "to_wild", "category", "source_ords"))
+        rest = here.filter("NOT arrived")
+        if rest.isEmpty():
+            break
+        here = settle(rest.join(step, ["to", "to_wild"]).select("category", "source_ords", F.col("next").alias("to"), F.col("next_wild").alias("to_wild"), F.col("there").alias("arrived")))
+    brought = rooted[0]
+    for more in rooted[1:]:
+        brought = brought.unionByName(more)
+    given = brought.select(F.lit("block").alias("rule_type"), F.col("to").alias("domain"), F.col("to_wild").alias("wildcard"), F.lit("").alias("modifiers"), F.lit("").alias("raw"), "category", "source_ords", F.lit(1).alias("_in"))
+    both = folded.survivors.withColumn("_in", F.lit(0)).unionByName(given).withColumn("_p", D.priority(F.col("category")))
+    return both.groupBy("rule_type", "domain", "wildcard", "modifiers", "raw").agg(_least_category().alias("category"), _merged_ords("source_ords").alias("source_ords"), F.sum("_in").alias("folded_in"))
+
+
 def conflicts(blocks: DataFrame, allows: DataFrame, cascade: bool = True) -> DataFrame:
     """Block rules that an allow rule overrules, with that rule.
 

@@ -24,8 +24,7 @@ COSMETIC = r"#@?#|#%#"
 ADDRESS = r"^\|?https?://"
 PATTERN = r"^(?:@@)?/.+/\$?[a-z,]*$"
 PATTERN_FLAGS = r"^((?:@@)?.+/)\$([a-z,]+)$"
-ALLOW = r"(?U)^@@\|\|([^/^\s$]+)\^?(.*)$"
-BLOCK = r"(?U)^\|\|([^/^\s$]+)\^?(.*)$"
+NAME = r"(?U)^(?:@@)?\|\|([^/^\s$]+)"
 HOSTS_4 = r"(?U)^(?:\d{1,3}\.){3}\d{1,3}\s+(\S+)"
 HOSTS_6 = r"(?U)^(?:(?:[0-9a-fA-F]{0,4}:){2,7}[0-9a-fA-F]{0,4}|::1?)\s+(\S+)"
 WILDCARD = r"^\*\.([a-zA-Z0-9][-a-zA-Z0-9]*\.)+[a-zA-Z]{2,}$"
@@ -66,8 +65,8 @@ def _poor(domain: Column, o: ParseOptions) -> Column:
     """Whether the quality filter rejects a domain."""
     if not o.quality_filter:
         return F.lit(False)
-    bare = F.regexp_replace(domain, r"^\*\.", "")
-    poor = (F.length(bare) < o.min_domain_length) | (F.length(bare) > o.max_domain_length) | ~bare.contains(".") | F.exists(D.labels(bare), lambda x: x == "")
+    bare = F.when(domain.startswith("*."), F.regexp_replace(domain, r"^\*\.", "")).otherwise(domain)
+    poor = (F.length(bare) < o.min_domain_length) | (F.length(bare) > o.max_domain_length) | ~bare.contains(".") | bare.startswith(".") | bare.endswith(".") | bare.contains("..")
     if o.filter_localhost:
         poor = poor | bare.isin(D.LOCAL_NAMES) | bare.endswith(".localhost") | bare.endswith(".local")
     if o.filter_ip_rules:
@@ -85,18 +84,32 @@ def parse(lines: DataFrame, options: ParseOptions = ParseOptions()) -> DataFrame
     """
     s = F.col("_s")
     stripped = computed(lines.select("source_ord", "line_no", "category", "line"), {"_s": D.strip_space(F.coalesce("line", F.lit("")))})
-    early = F.when(s == "", "blank").when(s.rlike(COMMENT), "comment").when(s.rlike(COSMETIC), "css").when(s.rlike(ADDRESS), "url")
-    stage = computed(stripped, {"_early": early, "_pattern": s.rlike(PATTERN)})
+    # cheap tests stand in front of the patterns they stand for
+    comment = s.startswith("!") | (s.startswith("#") & s.rlike(COMMENT))
+    early = F.when(s == "", "blank").when(comment, "comment").when(s.contains("#") & s.rlike(COSMETIC), "css").when(s.contains("://") & s.rlike(ADDRESS), "url")
+    stage = computed(stripped, {"_early": early, "_pattern": (s.startswith("/") | s.startswith("@@/")) & s.rlike(PATTERN)})
     rule = F.col("_early").isNull() & ~F.col("_pattern")
     has = s.contains("$")
     text, dropped = _modifiers(F.when(has, F.regexp_replace(s, r"(?s)^[^$]*\$", "")).otherwise(""))
-    split = computed(stage, {"_b": F.when(has, D.strip_space(F.substring_index("_s", "$", 1))).otherwise(s), "_m": F.when(rule & has, text).otherwise(""), "_x": rule & has & dropped})
+    split = computed(stage, {"_b": F.when(rule, F.when(has, D.strip_space(F.substring_index("_s", "$", 1))).otherwise(s)).otherwise(""), "_m": F.when(rule & has, text).otherwise(""), "_x": rule & has & dropped})
     b = F.col("_b")
-    form = F.when(b.rlike(ALLOW), "allow").when(b.rlike(BLOCK), "block").when(b.rlike(HOSTS_4), "hosts4").when(b.rlike(HOSTS_6), "hosts6").when(b.rlike(WILDCARD), "wildcard").when(b.rlike(PLAIN), "plain")
-    named = computed(split, {"_form": F.when(rule & (b != ""), form)})
+    lead = F.when(b.startswith("@@||"), 4).when(b.startswith("||"), 2).otherwise(0)
+    marked = computed(split, {"_lead": lead, "_name": F.when(b.startswith("@@||") | b.startswith("||"), F.regexp_extract(b, NAME, 1)).otherwise("")})
+    name = F.col("_name")
+    bare = (F.col("_lead") == 0) & (b != "")
+    # lines of hosts files hold white space and plain domains none, so these may be tried first
+    form = (
+        F.when(name != "", F.when(F.col("_lead") == 4, "allow").otherwise("block"))
+        .when(bare & b.startswith("*.") & b.rlike(WILDCARD), "wildcard")
+        .when(bare & b.rlike(PLAIN), "plain")
+        .when(bare & b.rlike(HOSTS_4), "hosts4")
+        .when(bare & b.contains(":") & b.rlike(HOSTS_6), "hosts6")
+    )
+    named = computed(marked, {"_form": form})
     f = F.col("_form")
-    text_of = F.when(f == "allow", F.regexp_extract(b, ALLOW, 1)).when(f == "block", F.regexp_extract(b, BLOCK, 1)).when(f == "hosts4", F.regexp_extract(b, HOSTS_4, 1)).when(f == "hosts6", F.regexp_extract(b, HOSTS_6, 1)).otherwise(b)
-    rest = F.when(f == "allow", F.regexp_extract(b, ALLOW, 2)).when(f == "block", F.regexp_extract(b, BLOCK, 2)).otherwise("")
+    text_of = F.when(name != "", name).when(f == "hosts4", F.regexp_extract(b, HOSTS_4, 1)).when(f == "hosts6", F.regexp_extract(b, HOSTS_6, 1)).otherwise(b)
+    behind = F.expr("substring(_b, _lead + length(_name) + 1)")
+    rest = F.when(name != "", F.when(behind.startswith("^"), F.expr("substring(_b, _lead + length(_name) + 2)")).otherwise(behind)).otherwise("")
     found = computed(named, {"_d": D.clean(text_of), "_rest": rest})
     d = F.col("_d")
     hosts = f.isin("hosts4", "hosts6")

@@ -72,5 +72,6 @@ def merge(spark: SparkSession, config: MergeConfig, out: str, cache: str | None
     }
     exports.write_json(metrics, f"{out}/stats.json")
     exports.write_json([r.asDict() for r in K.conflict_records(c.conflicts).orderBy("domain", "blocked_rule").limit(report.CONFLICTS).collect()], f"{out}/conflicts.json")
+    Path(out, "report.html").write_text(report.html(metrics), encoding="utf-8")
     Path(out, "report.md").write_text(report.markdown(metrics), encoding="utf-8")
     return metrics

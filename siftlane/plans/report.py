@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import html as H
 from typing import Any
 
+from .exports import script_safe
+
 #: How many rows the report shows.
 CONTRIBUTIONS, PAIRS, CONFLICTS = 25, 20, 50
 
@@ -25,3 +28,27 @@ def markdown(m: dict[str, Any]) -> str:
     out += ["## Overlap", "", *_table(["a", "b", "rules", "jaccard %", "heat"], [[name.get(p["source_a"]), name.get(p["source_b"]), p["overlap"], p["jaccard"], p["heat"]] for p in m["overlap"][:PAIRS]])]
     out += ["## Changes", "", f"{m['diff']['added']:,} added, {m['diff']['removed']:,} removed.", ""]
     return "\n".join(out)
+
+
+_HEAT = {"low": "#e3f1e3", "medium": "#fff5d6", "high": "#fbdcc0", "very high": "#f3b7b7"}
+
+
+def html(m: dict[str, Any]) -> str:
+    """The same tables as one page, with the overlaps as a heat map and the metrics as JSON inside."""
+    sources = m["contributions"]
+    heat = {(p["source_a"], p["source_b"]): p for p in m["overlap"]}
+    cell = lambda x: f"<td>{H.escape(str(x))}</td>"
+    rows = "".join("<tr>" + "".join(map(cell, (c["name"], c["raw_rules"], c["unique_rules"], c["shared_rules"], c["coverage_rate"], c["unique_rate"]))) + "</tr>" for c in sources)
+    matrix = ""
+    for a in sources:
+        matrix += f"<tr><th>{H.escape(str(a['name']))}</th>"
+        for b in sources:
+            p = heat.get((min(a["source_ord"], b["source_ord"]), max(a["source_ord"], b["source_ord"])))
+            matrix += f'<td style="background:{_HEAT[p["heat"]]}">{p["jaccard"]}</td>' if p and a is not b else "<td></td>"
+        matrix += "</tr>"
+    head = "".join(f"<th>{h}</th>" for h in ("source", "raw", "unique", "shared", "coverage %", "unique %"))
+    return f"""<!doctype html><meta charset="utf-8"><title>Merge {H.escape(str(m['content_version']))}</title>
+<h1>Merge {H.escape(str(m['content_version']))}</h1><p>{m['rules']['block']:,} block and {m['rules']['allow']:,} allow rules from {m['rules']['before']:,}.</p>
+<h2>Sources</h2><table><tr>{head}</tr>{rows}</table><h2>Overlap (jaccard %)</h2><table>{matrix}</table>
+<script type="application/json" id="metrics">{script_safe(m)}</script>
+"""

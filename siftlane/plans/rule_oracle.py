@@ -253,10 +253,13 @@ SELECT list_name, ip, len(list_filter(x, lambda z: z IN ('scam', 'phishing', 'ma
         "feed_freshness": "SELECT CASE WHEN s < 3600 THEN 'fresh' WHEN s < 21600 THEN 'stale' ELSE 'expired' END AS state, count(*) AS events FROM (SELECT epoch(TIMESTAMP '2024-01-15 00:00:00') - floor(epoch(ts)) AS s FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00') GROUP BY 1",
         "source_errors": "SELECT ['timeout', 'not_found', 'auth', 'dns', 'network', 'timeout', 'unknown'][o_orderkey % 7 + 1] AS kind, count(*) AS sources FROM orders GROUP BY 1",
         "cache_latest": _CACHE + "SELECT url, content_hash, size_bytes FROM z",
-        "cache_eviction": _CACHE + ", s AS (SELECT *, sum(coalesce(size_bytes, 0)) OVER (ORDER BY fetched_at DESC, url ROWS UNBOUNDED PRECEDING) > 20000000 AS gone FROM z) SELECT url, EXISTS (SELECT 1 FROM s k WHERE NOT k.gone AND k.content_hash = s.content_hash) AS content_kept FROM s WHERE gone",
+        "cache_eviction": _CACHE + ", s AS (SELECT *, sum(coalesce(size_bytes, 0)) OVER (ORDER BY fetched_at DESC, url ROWS UNBOUNDED PRECEDING) > 200000 AS gone FROM z) SELECT url, EXISTS (SELECT 1 FROM s k WHERE NOT k.gone AND k.content_hash = s.content_hash) AS content_kept FROM s WHERE gone",
         "cache_stats": _CACHE + "SELECT count(*) AS entries, coalesce(sum(size_bytes), 0)::BIGINT AS total_bytes, count(DISTINCT content_hash) AS contents FROM z",
         "cache_unchanged": _CACHE + "SELECT url FROM z WHERE EXISTS (SELECT 1 FROM cache_entries c WHERE c.content_hash = z.content_hash AND c.snapshot_no < z.snapshot_no)",
         "enabled_sources": "SELECT source_ord, name, category FROM sources WHERE enabled",
+        "graded_allow": _with(*audit) + "SELECT rating, CASE WHEN domain_category IN ('advertising', 'analytics') THEN domain_category ELSE 'other' END AS category, rule AS line FROM au",
+        "audit_cache_live": "SELECT user_id::VARCHAR AS domain, epoch_us(max(ts)) AS stored_us FROM events WHERE event_type = 'click' AND ts <= TIMESTAMP '2024-01-15 00:00:00' AND floor(epoch(ts)) > epoch(TIMESTAMP '2024-01-14 00:00:00') GROUP BY 1",
+        "content_version": _with(*_final()) + f"SELECT left(sha256(string_agg(line || chr(10), '' ORDER BY t, domain, NOT wildcard, modifiers, raw)), 12) AS version FROM (SELECT CASE WHEN rule_type = 'block' THEN 0 ELSE 1 END AS t, domain, wildcard, modifiers, raw, {_TEXT.format(p='')} AS line FROM fin)",
         "export_block": _with(*_final()) + f"SELECT {_TEXT.format(p='')} AS line FROM fb",
         "export_allow": _with(*_cleared()) + f"SELECT {_TEXT.format(p='')} AS line FROM al",
         "export_tiered": _with(*_final()) + f"SELECT category, {_TEXT.format(p='')} AS line FROM fb",
@@ -283,6 +286,16 @@ gn AS (SELECT domain, wildcard, category, ords, string_split(domain, '.') AS lb
 pa AS (SELECT *, array_to_string(lb[i + 1:], '.') AS up FROM gn, unnest(range(0, 20)) u(i) WHERE i < len(lb)),
 ro AS (SELECT pa.domain, pa.wildcard, any_value(pa.category) AS category, any_value(pa.ords) AS ords, arg_min({'d': sp.domain, 'w': sp.wildcard}, (i, NOT sp.wildcard)) AS root FROM pa JOIN sp ON sp.domain = pa.up AND (i > 0 OR (pa.wildcard AND NOT sp.wildcard)) GROUP BY 1, 2),
 un AS (SELECT domain, wildcard, modifiers, raw, category, ords, 0 AS n FROM sv UNION ALL SELECT root.d, root.w, '', '', category, ords, 1 FROM ro)
+SELECT domain, wildcard, modifiers, raw, arg_min(category, pri) AS category, array_to_string(list_sort(list_distinct(flatten(list(ords)))), ',') AS sources, sum(n)::BIGINT AS folded_in FROM un JOIN pr USING (category) GROUP BY 1, 2, 3, 4"""
+    )
+    out["fold_provenance_stepwise"] = (
+        _with(*_promoting(5)).replace("WITH ", "WITH RECURSIVE ", 1)
+        + r""", fx AS (SELECT *, CASE WHEN fate = 'promoted' THEN regexp_replace(domain, '^[^.]*\.', '') WHEN fate = 'wildcard' AND EXISTS (SELECT 1 FROM fo e WHERE e.domain = q.domain AND NOT e.wildcard AND e.modifiers = '' AND e.fate = 'kept') THEN domain ELSE keeper.d END AS td,
+    CASE WHEN fate = 'promoted' THEN true WHEN fate = 'wildcard' AND EXISTS (SELECT 1 FROM fo e WHERE e.domain = q.domain AND NOT e.wildcard AND e.modifiers = '' AND e.fate = 'kept') THEN false ELSE keeper.w END AS tw FROM fo q WHERE fate <> 'kept'),
+ed AS (SELECT fx.domain, fx.wildcard, fx.category, fx.ords, td, tw, t.fate = 'kept' AS there FROM fx JOIN fo t ON t.domain = td AND t.wildcard = tw AND t.modifiers = ''
+  WHERE tw OR NOT (t.fate = 'promoted' OR (fx.fate = 'wildcard' AND t.fate <> 'kept'))),
+ch AS (SELECT category, ords, td, tw, there FROM ed UNION ALL SELECT ch.category, ch.ords, ed.td, ed.tw, ed.there FROM ch JOIN ed ON ed.domain = ch.td AND ed.wildcard = ch.tw WHERE NOT ch.there),
+un AS (SELECT domain, wildcard, modifiers, raw, category, ords, 0 AS n FROM sv UNION ALL SELECT td, tw, '', '', category, ords, 1 FROM ch WHERE there)
 SELECT domain, wildcard, modifiers, raw, arg_min(category, pri) AS category, array_to_string(list_sort(list_distinct(flatten(list(ords)))), ',') AS sources, sum(n)::BIGINT AS folded_in FROM un JOIN pr USING (category) GROUP BY 1, 2, 3, 4"""
     )
     return out

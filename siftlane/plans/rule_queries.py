@@ -184,6 +184,12 @@ def fold_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("domain", "wildcard", "modifiers", "raw", "category", _joined("source_ords").alias("sources"), "folded_in")
 
 
+@query
+def fold_provenance_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = K.fold_provenance_stepwise(_fold(spark, sf_dir, promotion_threshold=5))
+    return f.select("domain", "wildcard", "modifiers", "raw", "category", _joined("source_ords").alias("sources"), "folded_in")
+
+
 def _conflict_rows(found: DataFrame) -> DataFrame:
     return K.conflict_records(found).withColumns({"blocked_sources": _joined("blocked_sources"), "whitelist_sources": _joined("whitelist_sources")})
 
@@ -459,9 +465,22 @@ def feed_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy(A.feed_freshness(age).alias("state")).agg(F.count(F.lit(1)).alias("events"))
 
 
+@query
+def graded_allow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.graded_allow_lines(_audited(spark, sf_dir), include_all_ratings=True, only=["advertising", "analytics"])
+
+
 # Sources and caches
 
 
+@query
+def audit_cache_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cached results of one configuration that still hold; events stand in for the cache."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("domain"), F.col("event_type").alias("fingerprint"), F.col("ts").cast("timestamp").alias("stored_at"))
+    now = F.lit("2024-01-15 00:00:00").cast("timestamp")
+    return A.live_cache(e.filter(F.col("stored_at") <= now), "click", now).select("domain", F.unix_micros("stored_at").alias("stored_us"))
+
+
 @query
 def source_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = F.array(*[F.lit(m) for m in ("Read TIMEOUT", "HTTP 404 Not Found", "HTTP 403", "getaddrinfo failed", "Connection reset", "source deadline exceeded", "bad gateway")])
@@ -477,7 +496,7 @@ def cache_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cache_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = cache.latest(table(spark, sf_dir, "cache_entries"))
-    return cache.evicted(entries, max_bytes=20_000_000).select("url", "content_kept")
+    return cache.evicted(entries, max_bytes=200_000).select("url", "content_kept")
 
 
 @query
@@ -499,6 +518,12 @@ def enabled_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Exports
 
 
+@query
+def content_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _compiled(spark, sf_dir)
+    return spark.createDataFrame([(exports.content_version(c.blocks, c.allows),)], "version string")
+
+
 def _export(kind: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         c = _compiled(spark, sf_dir)

@@ -41,6 +41,8 @@ def test_merge(spark, tmp_path, capsys):
     assert stats["categories"] == {"ads": 1, "tracking": 3} and stats["diff"] == {"added": 3, "removed": 1}
     assert (out / "diff_removed.txt").read_text().splitlines()[1:] == ["||gone.com^"]
     assert "# Merge" in (out / "report.md").read_text()
+    page = (out / "report.html").read_text()
+    assert "<th>A</th>" in page and '"content_version"' in page
     again = tmp_path / "again"
     cli.main(["merge", "--config", str(path), "--output-dir", str(again), "--quiet"])
     assert (again / "block.txt").read_bytes() == (out / "block.txt").read_bytes()
