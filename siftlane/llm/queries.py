@@ -120,6 +120,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": _CANON + """, g AS (SELECT parsed_id, min(parsed_id) OVER (PARTITION BY run_id, k, w, d, m) AS keep_id FROM canon)
 SELECT keep_id, parsed_id AS copy_id FROM g WHERE parsed_id <> keep_id""",
+        "p2_rules": _CANON + """, forms AS (SELECT c.*, CASE WHEN raw IS NULL THEN 'f' || coalesce(rule_type, '-') || '|' || coalesce(wildcard::VARCHAR, '-') || '|' || coalesce(normalized_domain, '-') || '|' || coalesce(p.modifiers, '-') ELSE 'r' || raw END AS form
+  FROM canon c JOIN parsed p USING (parsed_id))
+SELECT min(parsed_id) AS keep_id, run_id, k || ' ' || w || ' ' || d || ' ' || m AS rule, count(*) AS copies, count(DISTINCT form) AS forms FROM forms GROUP BY 2, 3""",
         "p4_found": r"""WITH v AS (SELECT lower(regexp_replace(normalized_domain, '^[.\s\pZ]+|[.\s\pZ]+$', '', 'g')) AS normalized_domain FROM parsed
   WHERE regexp_matches(normalized_domain, '[^\s\pZ]'))
 SELECT normalized_domain FROM v GROUP BY 1 HAVING count(*) * 200 >= (SELECT count(*) FROM v)""",
