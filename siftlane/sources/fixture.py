@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stages import computed
-from ..runtime import table
+from ..runtime import spread, table
 
 CATEGORY_OF = ["ads", "tracking", "malware", "phishing", "mining", "other"]
 BASES = ["example.com", "example.co.uk", "test.net", "promo.click"]
@@ -17,7 +17,7 @@ def rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     text = lambda c: c.cast("string")
     pick = lambda options, i: F.get(F.array(*options), i.cast("int"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     base = F.concat(F.lit("d"), text(k * 13 % 61), F.lit("."), pick([F.lit(b) for b in BASES], F.floor(k / 40) % 4))
     sub = pick([F.concat(F.lit("ads"), text(k % 7)), F.concat(F.lit("cdn"), text(k % 9)), F.lit("www"), F.lit("m.track"), F.concat(F.lit("x"), text(k % 11))], F.floor(k / 7) % 5)
     parts = computed(orders, {"k": k, "b": base, "s": sub, "shape": (k * 7 + 3) % 40})
