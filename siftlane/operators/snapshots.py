@@ -33,6 +33,8 @@ CELLS_PER_KEY = 1 / 8
 PARTS = 3
 ENLARGE = 4
 ROUNDS = 3
+#: Deliveries up to which their list (three numbers each) is sent to all executors.
+SENT_DELIVERIES = 100_000
 DIGEST = -1
 CHECK_SEED, DIGEST_SEED = 7, 11
 OUTER_BLANKS = r"^[\s\p{Z}\x0b\x1c-\x1f\x{85}\x{feff}]+|[\s\p{Z}\x0b\x1c-\x1f\x{85}\x{feff}]+$"
@@ -163,7 +165,7 @@ def changes(df: DataFrame, key: str, snapshot: str, value: Column, order: str) -
         """Each row as part of the later (way 1) and of the earlier (way -1) snapshot of a comparison."""
         as_later = F.struct(F.when(F.col("last").isNotNull(), F.col("at")).alias("later"), F.lit(1).alias("way"))
         as_earlier = F.struct(F.col("next").alias("later"), F.lit(-1).alias("way"))
-        met = rows.join(following, "at").withColumn("side", F.explode(F.array(as_later, as_earlier))).filter("side.later IS NOT NULL")
+        met = rows.join(F.broadcast(following) if deliveries <= SENT_DELIVERIES else following, "at").withColumn("side", F.explode(F.array(as_later, as_earlier))).filter("side.later IS NOT NULL")
         return met.select(*[c for c in rows.columns if c != "at"], "side.later", "side.way")
 
     own = _tables(holding.withColumn("sign", F.lit(1).cast("long")), ["at", "bucket"], size)
