@@ -205,7 +205,7 @@ def oracle_sql() -> dict[str, str]:
         "fold_exact": _with(*_fold()) + "SELECT domain, wildcard, keeper.d AS keeper_domain, keeper.w AS keeper_wildcard FROM fo WHERE fate = 'exact'",
         "fold_wildcard": _with(*_fold()) + "SELECT domain, wildcard, CASE WHEN self_exact THEN domain ELSE keeper.d END AS keeper_domain, CASE WHEN self_exact THEN false ELSE keeper.w END AS keeper_wildcard FROM fo WHERE fate = 'wildcard'",
         "promote_count": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 5",
-        "promote_pattern": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 3 AND numbered >= 0.4 * children",
+        "promote_pattern": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 3 AND numbered >= 0.25 * children",
         "promote_guarded": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 3 AND NOT (parent LIKE '%.test.net' AND regexp_matches(parent, '^d[0-9]+\\.') AND coalesce(try_cast(regexp_extract(parent, '^d([0-9]+)', 1) AS INTEGER), 1) % 2 = 0)",
         "conflicts_all": _with(*_unfolded(True)) + _RECORDS,
         "conflicts_nocascade": _with(*_unfolded(False)) + _RECORDS,

@@ -168,7 +168,7 @@ def promote_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def promote_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _promotions(spark, sf_dir, promotion_threshold=3, mode="pattern", pattern_ratio=0.4)
+    return _promotions(spark, sf_dir, promotion_threshold=3, mode="pattern", pattern_ratio=0.25)
 
 
 @query
