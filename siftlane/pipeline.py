@@ -71,7 +71,8 @@ def merge(spark: SparkSession, config: MergeConfig, out: str, cache: str | None
         "elapsed_seconds": round(time.time() - begin, 3),
     }
     exports.write_json(metrics, f"{out}/stats.json")
-    exports.write_json([r.asDict() for r in K.conflict_records(c.conflicts).orderBy("domain", "blocked_rule").limit(report.CONFLICTS).collect()], f"{out}/conflicts.json")
-    Path(out, "report.html").write_text(report.html(metrics), encoding="utf-8")
-    Path(out, "report.md").write_text(report.markdown(metrics), encoding="utf-8")
+    conflicts = exports.write_json_rows(K.conflict_records(c.conflicts).orderBy("domain", "blocked_rule"), f"{out}/conflicts.json", report.CONFLICTS)
+    shown = [r | {k: ", ".join(sources[i].name for i in r[k] or []) for k in ("blocked_sources", "whitelist_sources")} for r in conflicts]
+    Path(out, "report.html").write_text(report.html(metrics, shown), encoding="utf-8")
+    Path(out, "report.md").write_text(report.markdown(metrics, shown), encoding="utf-8")
     return metrics

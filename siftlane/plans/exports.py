@@ -77,6 +77,25 @@ def write_json(document: object, path: str) -> None:
     beside.replace(target)
 
 
+def write_json_rows(frame: DataFrame, path: str, first: int = 0) -> list[dict[str, object]]:
+    """All rows in order as one JSON array, one partition at a time on the driver. Gives the ``first`` rows."""
+    target = Path(path)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    beside = target.with_suffix(target.suffix + ".tmp")
+    kept: list[dict[str, object]] = []
+    between = "[\n  "
+    with beside.open("w", encoding="utf-8", newline="\n") as f:
+        for row in frame.toLocalIterator():
+            document = row.asDict()
+            f.write(between + json.dumps(document, ensure_ascii=False, indent=2, default=str).replace("\n", "\n  "))
+            between = ",\n  "
+            if len(kept) < first:
+                kept.append(document)
+        f.write("[]" if between[0] == "[" else "\n]")
+    beside.replace(target)
+    return kept
+
+
 def script_safe(document: object) -> str:
     """JSON that can stand inside a script element."""
     return json.dumps(document, ensure_ascii=False, default=str).replace("</", "<\\/")

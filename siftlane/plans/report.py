@@ -9,6 +9,8 @@ from .exports import script_safe
 
 #: How many rows the report shows.
 CONTRIBUTIONS, PAIRS, CONFLICTS = 25, 20, 50
+#: Heads and keys of the table of conflicts.
+_CONFLICT = {"domain": "domain", "block rule": "blocked_rule", "block sources": "blocked_sources", "allow rule": "whitelist_rule", "allow sources": "whitelist_sources", "type": "conflict_type"}
 
 
 def _table(head: list[str], rows: list[list[Any]]) -> list[str]:
@@ -16,7 +18,7 @@ def _table(head: list[str], rows: list[list[Any]]) -> list[str]:
     return ["| " + " | ".join(head) + " |", "|" + " --- |" * len(head), *("| " + " | ".join(map(cell, r)) + " |" for r in rows), ""]
 
 
-def markdown(m: dict[str, Any]) -> str:
+def markdown(m: dict[str, Any], conflicts: list[dict[str, Any]]) -> str:
     rules = m["rules"]
     after = rules["block"] + rules["allow"]
     rate = round((1 - after / rules["before"]) * 100, 1) if rules["before"] else 0.0
@@ -26,6 +28,7 @@ def markdown(m: dict[str, Any]) -> str:
     out += ["## Categories", "", *_table(["category", "block rules"], sorted(m["categories"].items(), key=lambda x: -x[1]))]
     out += ["## Sources", "", *_table(["source", "raw", "unique", "shared", "coverage %", "unique %"], [[c["name"], c["raw_rules"], c["unique_rules"], c["shared_rules"], c["coverage_rate"], c["unique_rate"]] for c in m["contributions"][:CONTRIBUTIONS]])]
     out += ["## Overlap", "", *_table(["a", "b", "rules", "jaccard %", "heat"], [[name.get(p["source_a"]), name.get(p["source_b"]), p["overlap"], p["jaccard"], p["heat"]] for p in m["overlap"][:PAIRS]])]
+    out += ["## Conflicts", "", f"{m['conflicts']:,} in all.", "", *_table([*_CONFLICT], [[c[k] for k in _CONFLICT.values()] for c in conflicts[:CONFLICTS]])]
     out += ["## Changes", "", f"{m['diff']['added']:,} added, {m['diff']['removed']:,} removed.", ""]
     return "\n".join(out)
 
@@ -33,7 +36,7 @@ def markdown(m: dict[str, Any]) -> str:
 _HEAT = {"low": "#e3f1e3", "medium": "#fff5d6", "high": "#fbdcc0", "very high": "#f3b7b7"}
 
 
-def html(m: dict[str, Any]) -> str:
+def html(m: dict[str, Any], conflicts: list[dict[str, Any]]) -> str:
     """The same tables as one page, with the overlaps as a heat map and the metrics as JSON inside."""
     sources = m["contributions"]
     heat = {(p["source_a"], p["source_b"]): p for p in m["overlap"]}
@@ -47,8 +50,11 @@ def html(m: dict[str, Any]) -> str:
             matrix += f'<td style="background:{_HEAT[p["heat"]]}">{p["jaccard"]}</td>' if p and a is not b else "<td></td>"
         matrix += "</tr>"
     head = "".join(f"<th>{h}</th>" for h in ("source", "raw", "unique", "shared", "coverage %", "unique %"))
+    conflict_head = "".join(f"<th>{h}</th>" for h in _CONFLICT)
+    conflict_rows = "".join("<tr>" + "".join(cell(c[k]) for k in _CONFLICT.values()) + "</tr>" for c in conflicts[:CONFLICTS])
     return f"""<!doctype html><meta charset="utf-8"><title>Merge {H.escape(str(m['content_version']))}</title>
 <h1>Merge {H.escape(str(m['content_version']))}</h1><p>{m['rules']['block']:,} block and {m['rules']['allow']:,} allow rules from {m['rules']['before']:,}.</p>
 <h2>Sources</h2><table><tr>{head}</tr>{rows}</table><h2>Overlap (jaccard %)</h2><table>{matrix}</table>
+<h2>Conflicts ({m['conflicts']:,})</h2><table><tr>{conflict_head}</tr>{conflict_rows}</table>
 <script type="application/json" id="metrics">{script_safe(m)}</script>
 """

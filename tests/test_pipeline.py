@@ -48,6 +48,27 @@ def test_merge(spark, tmp_path, capsys):
     assert (again / "block.txt").read_bytes() == (out / "block.txt").read_bytes()
 
 
+def test_all_conflicts(spark, tmp_path):
+    """conflicts.json has every conflict; only the reports' table is cut."""
+    names = [f"d{i:03}.com" for i in range(120)]
+    path = config(tmp_path, "".join(f"||{n}^\n" for n in names), "".join(f"@@||{n}^\n" for n in names))
+    out = tmp_path / "out"
+    assert cli.main(["merge", "--config", str(path), "--output-dir", str(out), "--quiet"]) == 0
+    records = json.loads((out / "conflicts.json").read_text())
+    assert [r["domain"] for r in records] == names and json.loads((out / "stats.json").read_text())["conflicts"] == 120
+    assert records[0] == {"domain": "d000.com", "blocked_rule": "||d000.com^", "blocked_category": "ads", "blocked_sources": [0], "whitelist_rule": "@@||d000.com^", "whitelist_sources": [1], "conflict_type": "exact"}
+    shown = (out / "report.md").read_text()
+    assert "120 in all" in shown and "\n| d049.com | \\|\\|d049.com^ | A | @@\\|\\|d049.com^ | B | exact |" in shown and "d050.com" not in shown
+    page = (out / "report.html").read_text()
+    assert "<td>d049.com</td>" in page and "d050.com" not in page
+
+
+def test_no_conflicts(spark, tmp_path):
+    out = tmp_path / "out"
+    cli.main(["merge", "--config", str(config(tmp_path, "||a.com^\n", "||b.com^\n")), "--output-dir", str(out), "--quiet"])
+    assert json.loads((out / "conflicts.json").read_text()) == []
+
+
 def test_config_problems(tmp_path, capsys):
     bad = {"sources": [{"name": "A", "url": "u", "category": "x"}, {"name": "B", "url": "u", "enabled": False}, {"name": "C"}], "parse": {"min_domain_length": "4", "max_domain_length": 0}, "fold": {"mode": "other"}, "download": {"backoff": "cubic"}, "output": {"formats": ["pdf"]}}
     problems = check_config(bad)[3]
