@@ -5,11 +5,12 @@ shingles and the state of its ending; it also counts the words that end in a ful
 stop. Then:
 
 * **Near copies.** Documents that share a band meet the longest document of that
-  bucket (its hub), so a bucket of any size costs one comparison per member. Pairs
-  are verified on the full texts (Jaccard of five-word shingles of 0.8 or more) and
-  aligned: a copy whose last words lie inside the longer copy, which goes on in
-  the middle of a word or sentence, is cut off. A copy that no hub verifies is
-  scored by its ending alone.
+  bucket (its hub) first. Pairs are verified on the full texts (Jaccard of five-word
+  shingles of 0.8 or more) and aligned: a copy whose last words lie inside the longer
+  copy, which goes on in the middle of a word or sentence, is cut off. Members that
+  no hub shows to be cut then meet every other member of their buckets that has their
+  last words somewhere and goes on behind them; without these no pair is a case, so
+  none is left out. A join on the hash of the last words finds them.
 * **Endings.** A closing mark that ends a sentence, note or quotation is an end; an
   open bracket or quotation is none. A full stop counts unless its word is an
   abbreviation: one that closes documents far more rarely than the words with a
@@ -57,6 +58,10 @@ SENT_PAIRS = 500_000
 SENT_WORDS = 100_000
 #: Documents that meet one part of a hub.
 HUB_ROWS = 5_000
+#: Further pairs that are compared in one round; those shown to be cut are left out of the next.
+ROUND_PAIRS = 5_000_000
+#: Bits of the sieve for last words that is sent to all executors: 32 MB at most. Fewer let more words through to the join, and lose none.
+SIEVE_BITS = 1 << 28
 KEPT_WORDS = 200_000
 
 #: What counts as one number in the units of text that formulas are made of.
@@ -183,27 +188,44 @@ class Hasher:
         return n, rows, bands.view(np.int64), coded.dictionary, counts
 
 
-_SCAN = "kind string, doc_id {id}, source string, n_words int, bands array<bigint>, state string, closing string, context bigint, n bigint"
+_MIX, _WORD = 0x9E3779B97F4A7C15, (1 << 64) - 1
+_NO_BREAK = ")]）;"
+
+
+def last_words(text: str) -> tuple[int | None, str | None]:
+    """Hash of the words before the last one that ``cut_inside`` looks for, and the last one; ``text`` has no cut signs."""
+    import xxhash
+
+    words = text.rsplit(None, SHINGLE + 1)[-SHINGLE - 1 :]
+    if len(words) <= SHINGLE:
+        return None, None
+    value = 0
+    for w in words[:-1]:
+        value = (value * _MIX + xxhash.xxh64_intdigest(w)) & _WORD
+    return value - (value >> 63 << 64), words[-1]
+
+
+_SCAN = "kind string, doc_id {id}, source string, n_chars int, before bigint, last string, bands array<bigint>, state string, closing string, context bigint, n bigint"
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """One row per document (kind ``doc``) and counts of words with a full stop (kind ``word``)."""
     id_type = docs.schema[id_col].dataType
     arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type.simpleString()]
-    names = ["kind", "doc_id", "source", "n_words", "bands", "state", "closing", "context", "n"]
+    names = ["kind", "doc_id", "source", "n_chars", "before", "last", "bands", "state", "closing", "context", "n"]
 
     def words_batch(seen: Counter) -> pa.RecordBatch:
         k = len(seen)
         null = lambda t: pa.nulls(k, t)
         return pa.RecordBatch.from_arrays(
-            [pa.array(["word"] * k), null(arrow_id), null(pa.string()), null(pa.int32()), null(pa.list_(pa.int64())), null(pa.string()), pa.array(list(seen.keys()), pa.string()), null(pa.int64()), pa.array(list(seen.values()), pa.int64())], names
+            [pa.array(["word"] * k), null(arrow_id), null(pa.string()), null(pa.int32()), null(pa.int64()), null(pa.string()), null(pa.list_(pa.int64())), null(pa.string()), pa.array(list(seen.keys()), pa.string()), null(pa.int64()), pa.array(list(seen.values()), pa.int64())], names
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), Counter()
         for batch in steps(batches, "text"):
             texts = pc.fill_null(batch.column(2), "")
-            n, rows, bands, words, counts = hasher.run(texts)
+            _, rows, bands, words, counts = hasher.run(texts)
             stop = pc.ends_with(words, ".").to_numpy(zero_copy_only=False)
             for word, count in zip(words.filter(pa.array(stop)).to_pylist(), counts[stop].tolist()):
                 seen[re.sub(r"^[\W_]+", "", re.sub(r"\d", "0", word))] += count
@@ -214,13 +236,15 @@ def scan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFr
             for i, text in zip(units, _in_units(pa.array([closing[i] for i in units], pa.string())).to_pylist()):
                 at = max(text.rfind("\n"), text.rfind(_MARK)) + 1
                 closing[i], context[i] = text[at:].strip()[-UNIT_CHARS:], hasher.hash(closing[i])
+            stripped = [strip_cut_signs(t) for t in texts.to_pylist()]
+            last = [last_words(t) for t in stripped]
             has = np.zeros(len(texts), bool)
             has[rows] = True
             offsets = np.concatenate([[0], np.cumsum(has * BANDS)])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bands.ravel(), pa.int64()))
             k = len(texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(["doc"] * k), batch.column(0), batch.column(1), pa.array(n, pa.int32()), lists, pa.array([s for s, _ in ends]), pa.array(closing, pa.string()), pa.array(context, pa.int64()), pa.nulls(k, pa.int64())], names
+                [pa.array(["doc"] * k), batch.column(0), batch.column(1), pa.array([len(t) for t in stripped], pa.int32()), pa.array([b for b, _ in last], pa.int64()), pa.array([w for _, w in last], pa.string()), lists, pa.array([s for s, _ in ends]), pa.array(closing, pa.string()), pa.array(context, pa.int64()), pa.nulls(k, pa.int64())], names
             )
             if len(seen) > KEPT_WORDS:
                 yield words_batch(seen)
@@ -280,7 +304,7 @@ def cut_inside(text: str, longer: str) -> bool:
     word, theirs = mine[-1], other[at]
     if theirs == word:
         follows = at + 1 < len(other) and not re.search(r"[\n\r\x0b\x0c]", longer[spans[at][1] : spans[at + 1][0]])
-        return follows and not _ends_sentence(word) and word[-1] not in ")]）;"
+        return follows and not _ends_sentence(word) and word[-1] not in _NO_BREAK
     return theirs.startswith(word) and re.search(r"\w", theirs[len(word) :]) is not None
 
 
@@ -289,18 +313,11 @@ def _quoted(text: str) -> str:
     return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in text)
 
 
-def near_copies(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id`` of documents that a longer near copy shows to be cut off."""
-    banded = scanned.filter("kind = 'doc' AND doc_id IS NOT NULL AND size(bands) > 0").select("doc_id", "n_words", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct(F.col("n_words").alias("w"), F.col("doc_id").alias("id"))).alias("hub"), F.min("n_words").alias("least"))
-    mixed = buckets.filter("members > 1 AND hub.w > least").select("band", "members", F.col("hub.w").alias("hub_words"), F.col("hub.id").alias("hub_id"))
-    total = scanned.filter("kind = 'doc'").count() * BANDS
-    met = attach(banded, mixed, ["band"], ["hub_id", "hub_words"], F.col("members"), total, F.struct("doc_id", "band"))
-    met_once = settle(met.filter("hub_words > n_words").select("doc_id", "hub_id").distinct())
-    n_pairs = met_once.count()
+def _cut_of(docs: DataFrame, met: DataFrame, n_pairs: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id`` of those documents of the pairs ``doc_id, hub_id`` that their hub shows to be cut off."""
     # a hub that very many documents meet comes in several parts, each with its share of them
-    sizes = met_once.groupBy(F.col("hub_id").alias("hub")).agg(F.count(F.lit(1)).alias("many"))
-    sized = attach(met_once.withColumn("hub", F.col("hub_id")), sizes, ["hub"], ["many"], F.col("many"), n_pairs, F.col("doc_id"))
+    sizes = met.groupBy(F.col("hub_id").alias("hub")).agg(F.count(F.lit(1)).alias("many"))
+    sized = attach(met.withColumn("hub", F.col("hub_id")), sizes, ["hub"], ["many"], F.col("many"), n_pairs, F.col("doc_id"))
     part = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("many") / F.lit(HUB_ROWS)))
     pairs = settle(sized.select("doc_id", "hub_id", part.alias("part")))
     sent = F.broadcast if n_pairs <= SENT_PAIRS else (lambda x: x)
@@ -315,7 +332,86 @@ def near_copies(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str)
             cut = [t is not None and o is not None and cut_inside(t, o) for t, o in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(cut, pa.bool_()))], ["doc_id"])
 
-    return both.mapInArrow(run, f"doc_id {id_type}").distinct()
+    return settle(both.mapInArrow(run, f"doc_id {id_type}").distinct())
+
+
+def _sieve(waiting: DataFrame, n: int) -> np.ndarray:
+    """Bits that are set for the hashes ``before``, as words of 64; there are ``n`` rows."""
+    bits = min(SIEVE_BITS, 1 << max(16, (64 * n).bit_length()))
+    place = waiting.select(F.col("before").bitwiseAND(F.lit(bits - 1)).alias("p"))
+    words = place.groupBy(F.expr("shiftright(p, 6)").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("word")).toArrow()
+    sieve = np.zeros(bits // 64, np.uint64)
+    sieve[words.column("at").to_numpy()] = words.column("word").to_numpy().view(np.uint64)
+    return sieve
+
+
+def _goes_on(docs: DataFrame, id_col: str, text_col: str, sieve: np.ndarray) -> DataFrame:
+    """``before, next, more, hub_id``: where texts have words that pass the sieve, the word behind them, and whether another follows that."""
+    sent = docs.sparkSession.sparkContext.broadcast(sieve)
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        class Hashes(dict):
+            def __missing__(self, word: str) -> int:
+                value = self[word] = xxhash.xxh64_intdigest(word)
+                return value
+
+        known, mask = Hashes(), np.uint64(len(sent.value) * 64 - 1)
+        for batch in steps(batches, "text"):
+            words: list[str] = []
+            ends = []
+            for text in pc.fill_null(batch.column(1), "").to_pylist():
+                words += text.split()
+                ends.append(len(words))
+            hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            rolled = np.zeros(max(0, len(words) - SHINGLE), np.uint64)  # the word behind is there too
+            for k in range(SHINGLE):
+                rolled = rolled * np.uint64(_MIX) + hashes[k : len(rolled) + k]
+            place = rolled & mask
+            at = np.flatnonzero(sent.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1))
+            row = np.searchsorted(ends, at, "right")
+            end = np.array(ends, np.int64)[row]
+            inside = at + SHINGLE < end
+            at, row, end = at[inside], row[inside], end[inside]
+            yield pa.RecordBatch.from_arrays([pa.array(rolled[at].view(np.int64)), pa.array([words[i + SHINGLE] for i in at.tolist()], pa.string()), pa.array(at + SHINGLE + 1 < end), batch.column(0).take(pa.array(row))], ["before", "next", "more", "hub_id"])
+            if len(known) > KEPT_WORDS:
+                known.clear()
+
+    texts = docs.filter(docs[id_col].isNotNull()).select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    return texts.mapInArrow(run, f"before bigint, next string, more boolean, hub_id {id_type}")
+
+
+def near_copies(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id`` of documents that a near copy shows to be cut off. Hubs are the longest without cut signs, in characters; a partner that goes on may still be the shorter one."""
+    members = scanned.filter("kind = 'doc' AND doc_id IS NOT NULL AND size(bands) > 0")
+    banded = members.select("doc_id", "n_chars", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct(F.col("n_chars").alias("w"), F.col("doc_id").alias("id"))).alias("hub"))
+    mixed = buckets.filter("members > 1").select("band", "members", F.col("hub.w").alias("hub_chars"), F.col("hub.id").alias("hub_id"))
+    total = scanned.filter("kind = 'doc'").count() * BANDS
+    met = attach(banded, mixed, ["band"], ["hub_id", "hub_chars", "members"], F.col("members"), total, F.struct("doc_id", "band"))
+    met_once = settle(met.select("doc_id", "hub_id", (F.col("hub_chars") > F.col("n_chars")).alias("first")).distinct())
+    first = met_once.filter("first").select("doc_id", "hub_id")
+    by_hub = _cut_of(docs, first, first.count(), id_col, text_col)
+    open_ids = met_once.select("doc_id").distinct().join(by_hub, "doc_id", "left_anti")
+    stops = F.col("last").rlike("[" + "".join(map(_quoted, _STOPS + _NO_BREAK)) + "]$")
+    waiting = settle(members.join(open_ids, "doc_id", "left_semi").filter("before IS NOT NULL").select("doc_id", "bands", "before", "last", stops.alias("stops")).distinct())
+    n_waiting = waiting.count()
+    if not n_waiting:
+        return by_hub
+    places = _goes_on(docs, id_col, text_col, _sieve(waiting, n_waiting))
+    fits = (F.col("next") != F.col("last")) | (F.col("more") & ~F.col("stops"))
+    likely = waiting.join(places, "before").filter(F.expr("startswith(next, last)") & fits & (F.col("hub_id") != F.col("doc_id")))
+    partners = members.select(F.col("doc_id").alias("hub_id"), F.col("bands").alias("hub_bands"))
+    pairs = likely.join(partners, "hub_id").filter(F.arrays_overlap("bands", "hub_bands")).select("doc_id", "hub_id").distinct()
+    pairs = settle(pairs.join(first, ["doc_id", "hub_id"], "left_anti"))
+    rounds = -(-pairs.count() // ROUND_PAIRS)
+    found = by_hub
+    for k in range(rounds):
+        now = settle(pairs.filter(F.pmod(F.xxhash64("hub_id"), F.lit(rounds)) == k).join(found, "doc_id", "left_anti"))
+        found = settle(found.union(_cut_of(docs, now, now.count(), id_col, text_col)))
+    return found
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

@@ -70,6 +70,36 @@ def test_other_ways(spark, monkeypatch):
     assert sorted({r["doc_id"] or 0 for r in T.judge(df).filter("truncated").collect()}) == [0, 300, 301, 302, 303, 304]
 
 
+def crowded():
+    """A bucket whose longest text is a near copy of none of the others; two are cut between words, one in its last word, one with a cut sign."""
+    shared = speech(1, 30)
+    full = {k: shared + " " + " ".join(f"Point {k} {i} was raised by delegate {i * k} for the committee of Mr. Abel{i} again." for i in range(12)) for k in (2, 3, 4, 5)}
+    cut = {k: full[k][: full[k].rindex(" of Mr. Abel11")] for k in (2, 3)}
+    cut |= {4: full[4][: full[4].rindex("agai") + 3], 5: full[5][: full[5].rindex(" again.")] + " [...]"}
+    other = shared + " " + speech(77, 40)
+    return [(1, other, "s")] + [(10 * k, t, "s") for k, t in full.items()] + [(10 * k + 1, t, "s") for k, t in cut.items()]
+
+
+@pytest.mark.parametrize("round_pairs", [1, 5_000_000])
+def test_beyond_the_hub(spark, monkeypatch, round_pairs):
+    """Every member of a bucket meets its full copy, though another text is the longest."""
+    monkeypatch.setattr(T, "ROUND_PAIRS", round_pairs, raising=False)
+    import numpy as np
+
+    def one_bucket(self, texts, run=T.Hasher.run):
+        n, rows, bands, words, counts = run(self, texts)
+        return n, rows, np.full_like(bands, 7), words, counts
+
+    monkeypatch.setattr(T.Hasher, "run", one_bucket)
+    rows = crowded()
+    scanned = T.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"), "doc_id", "text", "source")
+    texts = {r[0]: r[1] for r in rows}
+    assert not any(T.cut_inside(t, texts[1]) for t in texts.values())
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    found = {r["doc_id"] for r in T.near_copies(df, T.settle(scanned), "doc_id", "text").collect()}
+    assert found == {21, 31, 41, 51}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert T.judge(df).count() == 0 and T.shares(T.judge(df)).count() == 0
