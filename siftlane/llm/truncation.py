@@ -42,8 +42,6 @@ from .bpe import steps
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 12, 5
-#: Characters at the end of a text that its state is read from; closing marks, notes and quotations are shorter.
-TAIL_CHARS = 600
 UNIT_CHARS = 80
 FORMULA_ONE_IN = 20_000
 #: But at least so many, each behind another text.
@@ -105,16 +103,16 @@ def _ends_sentence(text: str) -> bool:
     return text.rstrip(_SPACE + _QUOTE_CLOSERS + ")]）")[-1:] in tuple(_STOPS) or (text[-1:] == ";" and "Ͱ" <= text[:-1].rstrip()[-1:] <= "\u1fff")
 
 
-def ending(tail: str) -> tuple[str, str | None]:
-    """State of an ending, from the last characters of a text, and what decides it if that is still open.
+def ending(whole: str) -> tuple[str, str | None]:
+    """State of the ending of a whole text, and what decides it if that is still open.
 
     ``blank``; ``whole``; ``broken``; ``dot`` with the last word, if it is an
     end unless that is an abbreviation; ``unit`` with the text before any cut signs,
     if it is broken unless its last unit is a formula.
     """
-    if not tail.strip(_SPACE):
+    if not whole.strip(_SPACE):
         return "blank", None
-    text = strip_cut_signs(tail)
+    text = strip_cut_signs(whole)
     if not text or _open_note(text) or _open_quote(text):
         return "broken", None
     last = text[-1]
@@ -229,14 +227,15 @@ def scan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFr
             stop = pc.ends_with(words, ".").to_numpy(zero_copy_only=False)
             for word, count in zip(words.filter(pa.array(stop)).to_pylist(), counts[stop].tolist()):
                 seen[re.sub(r"^[\W_]+", "", re.sub(r"\d", "0", word))] += count
-            ends = [ending(t) for t in pc.utf8_slice_codeunits(texts, start=-TAIL_CHARS).to_pylist()]
+            full = texts.to_pylist()
+            ends = [ending(t) for t in full]
             closing = [c for _, c in ends]
             context: list[int | None] = [None] * len(ends)
             units = [i for i, (s, _) in enumerate(ends) if s == "unit"]
             for i, text in zip(units, _in_units(pa.array([closing[i] for i in units], pa.string())).to_pylist()):
                 at = max(text.rfind("\n"), text.rfind(_MARK)) + 1
                 closing[i], context[i] = text[at:].strip()[-UNIT_CHARS:], hasher.hash(closing[i])
-            stripped = [strip_cut_signs(t) for t in texts.to_pylist()]
+            stripped = [strip_cut_signs(t) for t in full]
             last = [last_words(t) for t in stripped]
             has = np.zeros(len(texts), bool)
             has[rows] = True

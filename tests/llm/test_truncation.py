@@ -100,6 +100,14 @@ def test_beyond_the_hub(spark, monkeypatch, round_pairs):
     assert found == {21, 31, 41, 51}
 
 
+def test_far_from_the_end(spark):
+    """Marks and text further from the end than any window count, behind a full stop and before many blanks."""
+    said = "It went on as before. " * 60
+    rows = [(1, "We met. (Note: " + said, "s"), (2, "He said: „" + said, "s"), (3, "Nothing is," + " " * 5000, "s"), (4, "We met. (Note: " + said + ")", "s"), (5, "We met. " + said, "s"), (6, " " * 5000, "s")]
+    got = {r["doc_id"]: r["state"] for r in T.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == {1: "broken", 2: "broken", 3: "broken", 4: "whole", 5: "dot", 6: "blank"}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert T.judge(df).count() == 0 and T.shares(T.judge(df)).count() == 0
