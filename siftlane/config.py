@@ -39,6 +39,7 @@ class MergeConfig:
     compile: CompileOptions = CompileOptions()
     formats: list[str] = field(default_factory=lambda: ["hosts", "domains"])
     tiered: bool = True
+    suffix_list: str | None = None
     failure_threshold: float = 0.5
     retries: int = 2
     retry_delay: float = 1.0

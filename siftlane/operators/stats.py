@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domains as D
+from ..runtime import settle
 
 
 def rate(part: Column, whole: Column) -> Column:
@@ -17,14 +18,20 @@ def _keyed(rules: DataFrame) -> DataFrame:
     return rules.withColumn("key", F.when(F.col("domain") == "", F.col("raw")).otherwise(F.col("domain")))
 
 
+def _last() -> Column:
+    """Order of the rules of a key: allow rules come last."""
+    return F.struct(F.when(F.col("rule_type") == "block", 0).otherwise(1), ~F.col("wildcard"), "modifiers", "raw")
+
+
 def coverage(rules: DataFrame) -> DataFrame:
     """``key, sources``: by domain (patterns: by text) how many sources the last rule has, allow rules coming last."""
-    last = F.struct(F.when(F.col("rule_type") == "block", 0).otherwise(1), ~F.col("wildcard"), "modifiers", "raw")
-    return _keyed(rules).groupBy("key").agg(F.max_by(F.size("source_ords"), last).alias("sources"))
+    return _keyed(rules).groupBy("key").agg(F.max_by(F.size("source_ords"), _last()).alias("sources"))
 
 
 def _by_source(rules: DataFrame) -> DataFrame:
-    return _keyed(rules).join(coverage(rules), "key").select("category", "sources", F.explode("source_ords").alias("source_ord"))
+    """``category, sources, source_ord``: each rule of each source, with the coverage of its key. A key has few rules (one per type, wildcard and modifiers), so one aggregate holds them."""
+    keys = _keyed(rules).groupBy("key").agg(F.max_by(F.size("source_ords"), _last()).alias("sources"), F.collect_list(F.struct("category", "source_ords")).alias("_r"))
+    return keys.select("sources", F.inline("_r")).select("category", "sources", F.explode("source_ords").alias("source_ord"))
 
 
 def contributions(rules: DataFrame, raw: DataFrame) -> DataFrame:
@@ -51,10 +58,11 @@ def overlap_pairs(rules: DataFrame) -> DataFrame:
     once per distinct set.
     """
     sets = rules.groupBy("source_ords").agg(F.count(F.lit(1)).alias("n"))
-    pair = F.expr("flatten(transform(source_ords, (x, i) -> transform(slice(source_ords, i + 2, size(source_ords)), y -> struct(x AS a, y AS b))))")
-    pairs = sets.select(F.explode(pair).alias("p"), "n").groupBy(F.col("p.a").alias("source_a"), F.col("p.b").alias("source_b")).agg(F.sum("n").alias("overlap"))
-    own = sets.select(F.explode("source_ords").alias("s"), "n").groupBy("s").agg(F.sum("n").alias("effective"))
-    sized = pairs.join(own.select(F.col("s").alias("source_a"), F.col("effective").alias("effective_a")), "source_a").join(own.select(F.col("s").alias("source_b"), F.col("effective").alias("effective_b")), "source_b")
+    pair = F.expr("flatten(transform(source_ords, (x, i) -> transform(slice(source_ords, i + 1, size(source_ords)), y -> struct(x AS a, y AS b))))")
+    # at most one row per two sources
+    pairs = settle(sets.select(F.explode(pair).alias("p"), "n").groupBy(F.col("p.a").alias("source_a"), F.col("p.b").alias("source_b")).agg(F.sum("n").alias("overlap")))
+    own = pairs.filter("source_a = source_b")
+    sized = pairs.filter("source_a < source_b").join(own.select("source_a", F.col("overlap").alias("effective_a")), "source_a").join(own.select("source_b", F.col("overlap").alias("effective_b")), "source_b")
     return sized.withColumn("joint", F.col("effective_a") + F.col("effective_b") - F.col("overlap")).select("source_a", "source_b", "overlap", "effective_a", "effective_b", "joint")
 
 

@@ -21,7 +21,7 @@ def compile_lines(spark: SparkSession, lines: DataFrame, config: MergeConfig) ->
     """(compiled rules, parsed lines) of ``source_ord, line_no, line, category``."""
     parsed = settle(parse(lines, config.parse))
     fold = config.compile.fold
-    suffixes = classify.public_suffixes(spark).filter("kind = 'plain'").withColumnRenamed("rule_domain", "suffix") if fold.promotion_threshold else None
+    suffixes = classify.read_suffixes(spark, config.suffix_list) if config.suffix_list and fold.promotion_threshold else None
     return K.compile_rules(rules_of(parsed), config.compile, suffixes), parsed
 
 

@@ -19,6 +19,11 @@ l AS (SELECT source_ord, k AS line_no, ['ads', 'tracking', 'malware', 'phishing'
     WHEN shape = 36 THEN 'https://' || b || '/x' WHEN shape = 37 THEN '127.0.0.1 localhost' WHEN shape = 38 THEN '||a.b^'
     ELSE '@@/^cdn' || k % 5 || '\./' END AS line FROM p)"""
 
+_SIBLINGS = r"""
+sp0 AS (SELECT o_orderkey AS k, (o_custkey % 6)::INTEGER AS source_ord, ['s' || o_orderkey * 7 % 23 || '.example.com', 'co.uk', 'x' || o_orderkey % 5 || '.ck', 'www.ck', 't' || o_orderkey * 3 % 11 || '.test.net'][(o_orderkey // 3) % 5 + 1] AS parent,
+  CASE WHEN (o_orderkey // 15) % 4 <= o_orderkey * 7 % 23 % 5 THEN 'cdn' || o_orderkey % 89 ELSE 'w' || o_orderkey % 37 || 'x' END AS label FROM orders),
+l AS (SELECT source_ord, k AS line_no, ['ads', 'tracking', 'malware', 'phishing', 'mining', 'other'][source_ord + 1] AS category, '||' || label || '.' || parent || '^' AS line FROM sp0)"""
+
 _PARSED = r"""
 p1 AS (SELECT *, trim(line) AS t FROM l),
 p2 AS (SELECT *, CASE WHEN t = '' THEN 'blank' WHEN regexp_matches(t, '^!|^#($|[^#@%]|@($|[^#]))') THEN 'comment' WHEN regexp_matches(t, '#@?#|#%#') THEN 'css'
@@ -189,6 +194,7 @@ def oracle_sql() -> dict[str, str]:
     classes = [*_parsed(), _CLASSES.replace("{domains}", "r")]
     audit = [*_final(), _CLASSES.replace("{domains}", "al"), _AUDIT.replace("{text}", _TEXT.format(p="")).replace("{score}", _SCORE)]
     stats = [*_final(), _STATS]
+    siblings = _with(_SIBLINGS, *_cleared()[1:], _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 3"
     plain = "SELECT DISTINCT domain FROM fb WHERE modifiers = '' AND domain <> ''"
     out = {
         "fixture_lines": _with(_LINES) + "SELECT source_ord, line_no, line FROM l",
@@ -205,8 +211,10 @@ def oracle_sql() -> dict[str, str]:
         "fold_exact": _with(*_fold()) + "SELECT domain, wildcard, keeper.d AS keeper_domain, keeper.w AS keeper_wildcard FROM fo WHERE fate = 'exact'",
         "fold_wildcard": _with(*_fold()) + "SELECT domain, wildcard, CASE WHEN self_exact THEN domain ELSE keeper.d END AS keeper_domain, CASE WHEN self_exact THEN false ELSE keeper.w END AS keeper_wildcard FROM fo WHERE fate = 'wildcard'",
         "promote_count": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 5",
-        "promote_pattern": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 3 AND numbered >= 0.25 * children",
-        "promote_guarded": _with(*_cleared(), _PROMOTIONS) + "SELECT parent, children, category, array_to_string(ords, ',') AS sources FROM pm WHERE children >= 3 AND NOT (parent LIKE '%.test.net' AND regexp_matches(parent, '^d[0-9]+\\.') AND coalesce(try_cast(regexp_extract(parent, '^d([0-9]+)', 1) AS INTEGER), 1) % 2 = 0)",
+        "promote_siblings": siblings,
+        "promote_pattern": siblings + " AND numbered >= 0.6 * children",
+        "promote_guarded": siblings + r" AND NOT regexp_matches(parent, '^(co\.uk|x[0-9]+\.ck)$')",
+        "promote_guarded_by_rule": siblings + " AND parent <> 'co.uk'",
         "conflicts_all": _with(*_unfolded(True)) + _RECORDS,
         "conflicts_nocascade": _with(*_unfolded(False)) + _RECORDS,
         "conflict_type_counts": _with(*_final()) + "SELECT m.kind AS conflict_type, count(*) AS rules FROM cf GROUP BY 1",

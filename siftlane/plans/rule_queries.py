@@ -14,7 +14,7 @@ from ..operators import compile as K
 from ..operators import parse as P
 from ..operators import stats as S
 from ..sources import cache, files
-from ..sources.fixture import rule_lines
+from ..sources.fixture import rule_lines, sibling_lines
 from ..runtime import settle, table
 from . import exports, rule_oracle
 
@@ -154,28 +154,39 @@ def fold_counters_promoting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fold(spark, sf_dir, promotion_threshold=5).counters()
 
 
-def _promotions(spark: SparkSession, sf_dir: str, suffixes: DataFrame | None = None, **o: object) -> DataFrame:
-    rules = settle(K.dedup(_rules(spark, sf_dir)))
-    blocks, _ = K.split(settle(K.badfilter(rules)))
+def _promotions(lines: DataFrame, suffixes: DataFrame | None = None, **o: object) -> DataFrame:
+    rules = settle(K.dedup(P.rules_of(P.parse(lines))))
+    blocks, _ = K.split(K.badfilter(rules.select(*K.RULE)))
     found = K.promotions(blocks, K.FoldOptions(**o), K.cancelled(rules), suffixes)  # type: ignore[arg-type]
     return found.select("parent", "children", "category", _joined("source_ords").alias("sources"))
 
 
 @query
 def promote_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _promotions(spark, sf_dir, promotion_threshold=5)
+    return _promotions(rule_lines(spark, sf_dir), promotion_threshold=5)
+
+
+@query
+def promote_siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _promotions(sibling_lines(spark, sf_dir), promotion_threshold=3, suffix_guard=False)
 
 
 @query
 def promote_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _promotions(spark, sf_dir, promotion_threshold=3, mode="pattern", pattern_ratio=0.25)
+    """Parents enough of whose children are numbered through."""
+    return _promotions(sibling_lines(spark, sf_dir), promotion_threshold=3, suffix_guard=False, mode="pattern", pattern_ratio=0.6)
 
 
 @query
 def promote_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Promotion that treats the fixture's bases as public suffixes too."""
-    own = spark.createDataFrame([(f"d{i}.test.net",) for i in range(0, 61, 2)] + [("co.uk",)], "suffix string")
-    return _promotions(spark, sf_dir, own, promotion_threshold=3)
+    """Parents that aren't public suffixes: by a plain rule, below a wildcard, not by an exception."""
+    listed = spark.createDataFrame([("com", "plain"), ("net", "plain"), ("uk", "plain"), ("co.uk", "plain"), ("ck", "wildcard"), ("www.ck", "exception")], "rule_domain string, kind string")
+    return _promotions(sibling_lines(spark, sf_dir), listed, promotion_threshold=3)
+
+
+@query
+def promote_guarded_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _promotions(sibling_lines(spark, sf_dir), promotion_threshold=3)
 
 
 @query
@@ -223,7 +234,7 @@ def allow_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _compiled(spark, sf_dir)
+    c = _compiled(spark, sf_dir).keep()
     n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
     assert c.folded is not None
     frames = [
@@ -343,12 +354,12 @@ def _all_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _classified(spark: SparkSession, domains: DataFrame) -> DataFrame:
     known = spark.createDataFrame(KNOWN_DOMAINS, "pattern string, category string, position int")
-    return C.classify(domains, C.public_suffixes(spark), known, C.prefix_table(spark))
+    return C.classify(domains, None, known, C.prefix_table(spark))
 
 
 @query
 def registered_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.registered(_all_domains(spark, sf_dir), C.public_suffixes(spark))
+    return C.registered(_all_domains(spark, sf_dir))
 
 
 @query

@@ -55,3 +55,16 @@ def rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ord_ = (F.col("o_custkey") % 6).cast("int")
     category = pick([F.lit(x) for x in CATEGORY_OF], ord_)
     return computed(parts, {"source_ord": ord_, "line_no": k, "line": line, "category": category}).select("source_ord", "line_no", "line", "category")
+
+
+def sibling_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`rule_lines`, but siblings below parents that are no rules: numbered ones in a share that differs from parent to parent, and parents that are public suffixes of each kind."""
+    k = F.col("o_orderkey")
+    text = lambda c: c.cast("string")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    parent = F.get(F.array(F.concat(F.lit("s"), text(k * 7 % 23), F.lit(".example.com")), F.lit("co.uk"), F.concat(F.lit("x"), text(k % 5), F.lit(".ck")), F.lit("www.ck"), F.concat(F.lit("t"), text(k * 3 % 11), F.lit(".test.net"))), (F.floor(k / 3) % 5).cast("int"))
+    numbered = F.floor(k / 15) % 4 <= k * 7 % 23 % 5
+    label = F.when(numbered, F.concat(F.lit("cdn"), text(k % 89))).otherwise(F.concat(F.lit("w"), text(k % 37), F.lit("x")))
+    ord_ = (F.col("o_custkey") % 6).cast("int")
+    category = F.get(F.array(*[F.lit(x) for x in CATEGORY_OF]), ord_)
+    return orders.select(ord_.alias("source_ord"), k.alias("line_no"), F.concat(F.lit("||"), label, F.lit("."), parent, F.lit("^")).alias("line"), category.alias("category"))

@@ -85,17 +85,38 @@ def test_audit_joins_back(spark):
     assert {(r["measure"], r["bucket"], r["rules"]) for r in A.summary(A.audit(allows, empty, {})).collect()} >= {("rating", "safe", 2), ("risk", "none", 2)}
 
 
-def test_registered_domains(spark):
-    names = ["a.b.example.co.uk", "example.com", "co.uk", "x.y.ck", "www.ck", "a.www.ck", "no-such-suffix-here", "deep.sub.example.com"]
-    df = spark.createDataFrame([(n,) for n in names] + [(None,)], "domain string")
-    got = {r["domain"]: r["registered"] for r in C.registered(df, C.public_suffixes(spark)).collect()}
-    assert got == {"a.b.example.co.uk": "example.co.uk", "example.com": "example.com", "co.uk": "co.uk", "x.y.ck": "x.y.ck", "www.ck": "www.ck", "a.www.ck": "www.ck", "no-such-suffix-here": "no-such-suffix-here", "deep.sub.example.com": "example.com"}
+NAMES = ["a.b.example.co.uk", "example.com", "co.uk", "x.y.ck", "www.ck", "a.www.ck", "no-such-suffix-here", "deep.sub.example.com", "10.0.0.1", "nas.local", ""]
+
+
+def registered_of(spark, suffixes=None):
+    df = spark.createDataFrame([(n,) for n in NAMES] + [(None,), ("example.com",)], "domain string")
+    return {r["domain"]: r["registered"] for r in C.registered(df, suffixes).collect()}
+
+
+def test_registered_domains_by_list(spark, tmp_path):
+    (tmp_path / "list.dat").write_text("// comment\ncom\nco.uk\nuk\n*.ck\n!www.ck\n// ===BEGIN PRIVATE DOMAINS===\nexample.com\n")
+    got = registered_of(spark, C.read_suffixes(spark, str(tmp_path / "list.dat")))
+    assert got == {"a.b.example.co.uk": "example.co.uk", "example.com": "example.com", "co.uk": "co.uk", "x.y.ck": "x.y.ck", "www.ck": "www.ck", "a.www.ck": "www.ck", "no-such-suffix-here": "no-such-suffix-here", "deep.sub.example.com": "example.com", "10.0.0.1": "10.0.0.1", "nas.local": "nas.local", "": ""}
+    with pytest.raises(Exception, match="(?i)does not exist|not.found"):
+        C.read_suffixes(spark, str(tmp_path / "absent.dat"))
+
+
+def test_registered_domains_by_rule(spark):
+    got = registered_of(spark)
+    assert got["a.b.example.co.uk"] == "example.co.uk" and got["deep.sub.example.com"] == "example.com" and got["co.uk"] == "co.uk"
+    assert got["x.y.ck"] == "y.ck"  # only a list knows better
+    assert got["10.0.0.1"] == "10.0.0.1" and got["nas.local"] == "nas.local" and got[""] == ""
+
+
+def test_known_domains_from_a_file(spark, tmp_path):
+    (tmp_path / "known.csv").write_text("# category,domain\nsocial, Known.com\ncdn,known.com\n\nbroken line\n")
+    assert [(r["pattern"], r["category"]) for r in C.read_known(spark, str(tmp_path / "known.csv")).orderBy("position").collect()] == [("known.com", "social"), ("known.com", "cdn")]
 
 
 def test_classes(spark):
     table = spark.createDataFrame([("known.com", "social", 1), ("known.com", "cdn", 2)], "pattern string, category string, position int")
     df = spark.createDataFrame([("x.known.com",), ("evilknown.com",), ("ads.other.com",), ("a.ads.other.com",)], "domain string")
-    got = {r["domain"]: (r["category"], r["confidence"]) for r in C.classify(df, C.public_suffixes(spark), table, C.prefix_table(spark)).collect()}
+    got = {r["domain"]: (r["category"], r["confidence"]) for r in C.classify(df, None, table, C.prefix_table(spark)).collect()}
     assert got == {"x.known.com": ("social", 0.9), "evilknown.com": ("other", 0.0), "ads.other.com": ("advertising", 0.6), "a.ads.other.com": ("other", 0.0)}
 
 

@@ -51,13 +51,21 @@ def test_fold_cases(spark):
 
 
 def test_suffix_guard(spark):
-    from siftlane.operators.classify import public_suffixes
-
-    found = K.split(K.dedup(rules(spark, "||a.co.uk^", "||b.co.uk^", "||c.co.uk^")))[0]
-    suffixes = public_suffixes(spark).withColumnRenamed("rule_domain", "suffix")
-    o = K.FoldOptions(promotion_threshold=2)
-    assert K.promotions(found, o).count() == 1
-    assert K.promotions(found, o, suffixes=suffixes).count() == 0
+    children = lambda parent: [f"||{x}.{parent}^" for x in "abc"]
+    found = K.split(K.dedup(rules(spark, *children("co.uk"), *children("x.ck"), *children("www.ck"), *children("example.com"))))[0]
+    parents = lambda o, suffixes=None: {r["parent"] for r in K.promotions(found, o, suffixes=suffixes).collect()}
+    everything = {"co.uk", "x.ck", "www.ck", "example.com"}
+    assert parents(K.FoldOptions(promotion_threshold=2, suffix_guard=False)) == everything
+    assert parents(K.FoldOptions(promotion_threshold=2)) == everything - {"co.uk"}
+    listed = spark.createDataFrame([("co.uk", "plain"), ("ck", "wildcard"), ("www.ck", "exception"), ("com", "plain")], "rule_domain string, kind string")
+    assert parents(K.FoldOptions(promotion_threshold=2), listed) == {"www.ck", "example.com"}
+
+
+def test_patterns_and_empty_tables(spark):
+    c = compiled(spark, "/^ads/", "/^ads/", "@@/^ok/", "||a.com^$important", fold=K.FoldOptions(promotion_threshold=1))
+    assert texts(c.blocks) == ["/^ads/", "||a.com^$important"] and texts(c.allows) == ["@@/^ok/"]
+    none = compiled(spark, "! only a comment")
+    assert none.rules.count() == 0 and none.conflicts.count() == 0 and tuple(none.folded.counters().first()) == (0, 0, 0)
 
 
 def test_badfilter(spark):
