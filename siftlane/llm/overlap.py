@@ -1,70 +1,124 @@
 """Shared identifiers of every pair of sets, kept up to date by changes (problem 5).
 
-State is the membership ``(item, set)``. When items join or leave sets, each
-change is joined against the other memberships of its item, and every pair of
-sets concerned gets a signed delta. Items with the same change between the same
-memberships are counted first, so pairs are spelled out once per distinct
-pattern of memberships, not per item, and no intersection is ever materialised.
+State is one row per item with the sets it is in, and the count of every pair of
+sets. When items join or leave sets, the changes of an item meet its other
+memberships in one join on the item, and every pair of sets concerned gets a signed
+delta. Items with the same moves between the same memberships are counted first, so
+pairs are spelled out once per distinct pattern, not per item, and no intersection
+is ever materialised.
 
-An item's group holds at most one row per set. The sizes of sets are kept as the
+The row of an item holds as many sets as it is in. Pairs of an item in very many sets
+are spelled out block by block: a row pairs two blocks of at most ``BLOCK`` sets, and
+the rows of such items are dealt over all tasks. The sizes of sets are kept as the
 pair of a set with itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: ``a < b`` pairs of a sorted array.
-_WITHIN = "flatten(transform({0}, (x, i) -> transform(slice({0}, i + 2, size({0})), y -> struct(x AS a, y AS b))))"
-_ACROSS = "flatten(transform({0}, x -> transform({1}, y -> struct(least(x, y) AS a, greatest(x, y) AS b))))"
-_SELF = "transform({0}, x -> struct(x AS a, x AS b))"
+from ..runtime import settle
+
+#: Sets of an item that one row pairs with as many others.
+BLOCK = 64
+
+
+def _sets(condition: Column) -> Column:
+    return F.array_sort(F.collect_set(F.when(condition, F.col("set"))))
+
+
+def empty_members(like: DataFrame) -> DataFrame:
+    """The empty state for rows of ``item, set``."""
+    kinds = {f.name: f.dataType.simpleString() for f in like.schema.fields}
+    return like.sparkSession.createDataFrame([], f"item {kinds['item']}, sets array<{kinds['set']}>")
 
 
-def pair_deltas(members: DataFrame | None, changes: DataFrame) -> DataFrame:
-    """Signed deltas ``a, b, delta`` (``a <= b``) that ``changes`` make to the pair counts.
+def moves(members: DataFrame, changes: DataFrame) -> DataFrame:
+    """``item, kept, joined, gone`` of all items, from ``members`` (``item, sets``) and ``changes`` (``item, set, joins``).
 
-    ``members``: distinct ``item, set``; None is the empty state. ``changes``:
-    ``item, set, joins`` (boolean) in any number and order; per item and set a
-    join wins over a leave. A join of a member and a leave of a non-member change
-    nothing. Rows with a null don't count. An empty set of changes gives no rows.
+    Changes come in any number and order; per item and set a join wins over a leave. A
+    join of a member and a leave of a non-member move nothing. Rows with a null don't count.
     """
-    net = changes.filter("item IS NOT NULL AND set IS NOT NULL AND joins IS NOT NULL").groupBy("item", "set").agg(F.max("joins").alias("joins"))
-    if members is None:
-        touched = net.select("item", "set", F.lit(False).alias("was"), "joins")
-    else:
-        old = members.join(net.select("item").distinct(), "item", "left_semi").select("item", "set", F.lit(True).alias("was"), F.lit(None).cast("boolean").alias("joins"))
-        both = old.unionByName(net.select("item", "set", F.lit(False).alias("was"), "joins"))
-        touched = both.groupBy("item", "set").agg(F.max("was").alias("was"), F.max("joins").alias("joins"))
-    of = lambda cond: F.array_sort(F.collect_list(F.when(F.expr(cond), F.col("set"))))
-    items = touched.groupBy("item").agg(of("was AND coalesce(joins, true)").alias("kept"), of("NOT was AND joins").alias("joined"), of("was AND NOT joins").alias("gone"))
-    patterns = items.filter("size(joined) + size(gone) > 0").groupBy("kept", "joined", "gone").agg(F.count(F.lit(1)).alias("n"))
-    gained = f"concat({_SELF.format('joined')}, {_WITHIN.format('joined')}, {_ACROSS.format('joined', 'kept')})"
-    lost = f"concat({_SELF.format('gone')}, {_WITHIN.format('gone')}, {_ACROSS.format('gone', 'kept')})"
-    signed = patterns.select(F.explode(F.expr(gained)).alias("p"), F.col("n").alias("d")).unionByName(patterns.filter("size(gone) > 0").select(F.explode(F.expr(lost)).alias("p"), (-F.col("n")).alias("d")))
-    return signed.groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("d").alias("delta")).filter("delta <> 0")
-
-
-def apply_changes(members: DataFrame, counts: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The state ``(members, counts)`` after ``changes``; counts has ``a, b, n``. Usable as a ``foreachBatch`` step."""
-    deltas = pair_deltas(members, changes)
-    after = counts.select("a", "b", F.col("n").alias("d")).unionByName(deltas.select("a", "b", F.col("delta").alias("d"))).groupBy("a", "b").agg(F.sum("d").alias("n")).filter("n > 0")
-    net = changes.filter("item IS NOT NULL AND set IS NOT NULL AND joins IS NOT NULL").groupBy("item", "set").agg(F.max("joins").alias("joins"))
-    all_ = members.select("item", "set", F.lit(None).cast("boolean").alias("joins")).unionByName(net.select("item", "set", "joins"))
-    return all_.groupBy("item", "set").agg(F.max("joins").alias("joins")).filter("coalesce(joins, true)").select("item", "set"), after
-
-
-def deltas_by_step(first: DataFrame) -> DataFrame:
-    """Deltas of many steps at once, where items only join.
-
-    ``first``: ``item, set, step``, any rows; the smallest step of an item and set
-    is when it joins. A pair gains an item at the later of its two joins. Result:
-    ``step, a, b, delta``.
+    asked = changes.filter("item IS NOT NULL AND set IS NOT NULL AND joins IS NOT NULL").groupBy("item").agg(_sets(F.col("joins")).alias("to"), _sets(~F.col("joins")).alias("off"))
+    none = F.array().cast(members.schema["sets"].dataType)
+    both = members.join(asked, "item", "full").select("item", *[F.coalesce(c, none).alias(c) for c in ("sets", "to", "off")])
+    gone = F.array_except(F.array_intersect("sets", "off"), F.col("to"))
+    return both.select("item", F.array_except(F.col("sets"), gone).alias("kept"), F.array_except("to", "sets").alias("joined"), gone.alias("gone"))
+
+
+def moves_to(members: DataFrame, now: DataFrame) -> DataFrame:
+    """As :func:`moves`, where ``now`` (``item, set``) states all memberships: what it lacks has left."""
+    stated = now.filter("item IS NOT NULL AND set IS NOT NULL").groupBy("item").agg(_sets(F.lit(True)).alias("to"))
+    none = F.array().cast(members.schema["sets"].dataType)
+    both = members.join(stated, "item", "full").select("item", *[F.coalesce(c, none).alias(c) for c in ("sets", "to")])
+    return both.select("item", F.array_intersect("sets", "to").alias("kept"), F.array_except("to", "sets").alias("joined"), F.array_except("sets", "to").alias("gone"))
+
+
+def members_after(moved: DataFrame) -> DataFrame:
+    """The state ``item, sets`` behind :func:`moves`; items in no set are left out."""
+    return moved.select("item", F.array_sort(F.concat("kept", "joined")).alias("sets")).filter("size(sets) > 0")
+
+
+def _blocks(column: str) -> str:
+    return f"IF(size({column}) = 0, slice(array({column}), 1, 0), transform(sequence(0, (size({column}) - 1) div {BLOCK}), q -> slice({column}, q * {BLOCK} + 1, {BLOCK})))"
+
+
+def deltas_of(moved: DataFrame) -> DataFrame:
+    """Signed deltas ``a, b, delta`` (``a <= b``) that :func:`moves` make to the pair counts; none is 0."""
+    patterns = moved.filter("size(joined) + size(gone) > 0").groupBy("kept", "joined", "gone").agg(F.count(F.lit(1)).alias("n"))
+    both = F.array(F.struct(F.col("joined").alias("moved"), F.col("n").alias("d")), F.struct(F.col("gone").alias("moved"), (-F.col("n")).alias("d")))
+    one_way = patterns.select("kept", F.inline(both)).filter("size(moved) > 0")
+    firsts = lambda rows: rows.select("kept", "moved", "d", F.posexplode(F.expr(_blocks("moved"))).alias("i", "x"))
+    heavy = F.greatest(F.size("moved"), F.size("kept")) > BLOCK
+    # the blocks of heavy items are dealt over all tasks
+    rows = firsts(one_way.filter(~heavy)).unionByName(firsts(one_way.filter(heavy)).repartition(F.xxhash64("x", "kept")))
+    later = _blocks(f"slice(moved, i * {BLOCK} + 1, size(moved))")
+    partners = f"concat(transform({later}, (y, j) -> struct(y AS y, j = 0 AS own)), transform({_blocks('kept')}, y -> struct(y AS y, false AS own)))"
+    blocks = rows.select("d", "x", F.explode(F.expr(partners)).alias("p")).select("d", "x", "p.y", "p.own")
+    pairs = "IF(own, flatten(transform(x, (a, i) -> transform(slice(x, i + 1, size(x)), b -> struct(a AS a, b AS b)))), flatten(transform(x, a -> transform(y, b -> struct(least(a, b) AS a, greatest(a, b) AS b)))))"
+    return blocks.select("d", F.explode(F.expr(pairs)).alias("p")).groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("d").alias("delta")).filter("delta <> 0")
+
+
+def add_deltas(counts: DataFrame | None, deltas: DataFrame) -> DataFrame:
+    """Pair counts ``a, b, n`` with ``deltas`` applied; pairs that share nothing are left out."""
+    new = deltas.select("a", "b", F.col("delta").alias("n"))
+    return (new if counts is None else counts.select("a", "b", "n").unionByName(new)).groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 0")
+
+
+def apply_changes(members: DataFrame, counts: DataFrame | None, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The state ``(members, counts)`` after ``changes``. Usable as a ``foreachBatch`` step."""
+    moved = settle(moves(members, changes))
+    return members_after(moved), add_deltas(counts, deltas_of(moved))
+
+
+def replay(stated: DataFrame, leaves: bool) -> Iterator[tuple[int, DataFrame]]:
+    """``(step, deltas)`` of each step of ``stated`` (``item, set, step``; each step states memberships), in order.
+
+    With ``leaves`` a membership that a step doesn't state has ended; else it stays, so
+    the state is what was stated in any step. The state of one step is written before
+    the next reads it. Steps are few: they are looped over.
     """
-    joined = first.filter("item IS NOT NULL AND set IS NOT NULL AND step IS NOT NULL").groupBy("item", "set").agg(F.min("step").alias("step"))
-    patterns = joined.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("set", "step"))).alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("n"))
-    pairs = "flatten(transform(m, (x, i) -> transform(slice(m, i + 1, size(m)), y -> struct(x.set AS a, y.set AS b, greatest(x.step, y.step) AS step))))"
-    return patterns.select(F.explode(F.expr(pairs)).alias("p"), "n").groupBy(F.col("p.step").alias("step"), F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("n").alias("delta"))
+    known = settle(stated.filter("item IS NOT NULL AND set IS NOT NULL AND step IS NOT NULL").select("item", "set", "step").distinct())
+    members = empty_members(known)
+    for row in known.select("step").distinct().orderBy("step").collect():  # one row per run
+        now = known.filter(F.col("step") == row["step"])
+        moved = settle(moves_to(members, now) if leaves else moves(members, now.withColumn("joins", F.lit(True))))
+        members = members_after(moved)
+        yield row["step"], deltas_of(moved)
+
+
+def maintained(stated: DataFrame, leaves: bool) -> DataFrame:
+    """Pair counts ``a, b, n`` after all steps of ``stated``, kept up to date step by step."""
+    counts = None
+    for _, deltas in replay(stated, leaves):
+        counts = settle(add_deltas(counts, deltas))
+    if counts is None:
+        kind = stated.schema["set"].dataType.simpleString()
+        return stated.sparkSession.createDataFrame([], f"a {kind}, b {kind}, n bigint")
+    return counts
 
 
 def similar_pairs(counts: DataFrame, per_cent: int) -> DataFrame:

@@ -32,31 +32,35 @@ def _named(name: str) -> F.Column:
     return F.lower(F.regexp_replace(name, outer, ""))
 
 
-def _set_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``item, set, step`` of rule_sources, with sets as spelled in sources.name."""
     names = table(spark, sf_dir, "sources").filter("name IS NOT NULL").groupBy(_named("name").alias("_key")).agg(F.min("name").alias("set"))
     rows = table(spark, sf_dir, "rule_sources").select(_named("name").alias("_key"), F.col("rule_id").alias("item"), F.col("run_id").alias("step"))
     return rows.join(names, "_key").select("item", "set", "step")
 
 
-def _all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pair counts after all runs, from the empty state."""
-    changes = _set_events(spark, sf_dir).select("item", "set", F.lit(True).alias("joins"))
-    return overlap.pair_deltas(None, changes).withColumnRenamed("delta", "n")
-
-
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = overlap.similar_pairs(_all_pairs(spark, sf_dir), per_cent=20)
+    found = overlap.similar_pairs(overlap.maintained(_stated(spark, sf_dir), leaves=False), per_cent=20)
     return found.select(F.col("a").alias("name_a"), F.col("b").alias("name_b"))
 
 
 def p5_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _all_pairs(spark, sf_dir).filter("a < b").select(F.col("a").alias("name_a"), F.col("b").alias("name_b"), F.col("n").alias("shared"))
+    """Shared rules over all runs together."""
+    return overlap.maintained(_stated(spark, sf_dir), leaves=False).filter("a < b").select(F.col("a").alias("name_a"), F.col("b").alias("name_b"), F.col("n").alias("shared"))
+
+
+def p5_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shared rules in the last run, from joins and leaves of all runs."""
+    return overlap.maintained(_stated(spark, sf_dir), leaves=True).filter("a < b").select(F.col("a").alias("name_a"), F.col("b").alias("name_b"), F.col("n").alias("shared"))
 
 
 def p5_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deltas = overlap.deltas_by_step(_set_events(spark, sf_dir))
-    return deltas.filter("a < b").select(F.col("step").alias("run_id"), F.col("a").alias("name_a"), F.col("b").alias("name_b"), "delta")
+    """What each run changes in the number of shared rules."""
+    every = [deltas.filter("a < b").select(F.lit(step).cast("int").alias("run_id"), F.col("a").alias("name_a"), F.col("b").alias("name_b"), "delta") for step, deltas in overlap.replay(_stated(spark, sf_dir), leaves=True)]
+    out = spark.createDataFrame([], "run_id int, name_a string, name_b string, delta bigint")
+    for deltas in every:
+        out = out.unionByName(deltas)
+    return out
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +80,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p2_found, p2_rules, p4_found, p4_counts, p5_found, p5_overlaps, p5_by_run, p6_ids, p7_packed, p8_found, p8_shares)
+    own = (p2_found, p2_rules, p4_found, p4_counts, p5_found, p5_overlaps, p5_current, p5_by_run, p6_ids, p7_packed, p8_found, p8_shares)
     return {f.__name__: f for f in own}
 
 
@@ -116,6 +120,15 @@ m AS (SELECT rule_id, n.name AS name, min(run_id) AS run_id FROM rule_sources r
 """
 
 
+_RUNS = (
+    _NAMES
+    + r""", d AS (SELECT DISTINCT rule_id, n.name AS name, run_id FROM rule_sources r JOIN names n ON n.k = lower(regexp_replace(r.name, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')) WHERE rule_id IS NOT NULL AND run_id IS NOT NULL),
+f AS (SELECT run_id, lead(run_id) OVER (ORDER BY run_id) AS next FROM (SELECT DISTINCT run_id FROM d)),
+c AS (SELECT x.run_id, x.name AS name_a, y.name AS name_b, count(*) AS n FROM d x JOIN d y ON x.run_id = y.run_id AND x.rule_id = y.rule_id AND x.name < y.name GROUP BY 1, 2, 3)
+"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": _CANON + """, g AS (SELECT parsed_id, min(parsed_id) OVER (PARTITION BY run_id, k, w, d, m) AS keep_id FROM canon)
@@ -130,5 +143,7 @@ SELECT normalized_domain FROM v GROUP BY 1 HAVING count(*) * 200 >= (SELECT coun
 p AS (SELECT x.name AS name_a, y.name AS name_b, count(*) AS shared FROM m x JOIN m y ON x.rule_id = y.rule_id AND x.name < y.name GROUP BY 1, 2)
 SELECT name_a, name_b FROM p JOIN s a ON a.name = name_a JOIN s b ON b.name = name_b WHERE shared * 100 >= (a.n + b.n - shared) * 20""",
         "p5_overlaps": _NAMES + "SELECT x.name AS name_a, y.name AS name_b, count(*) AS shared FROM m x JOIN m y ON x.rule_id = y.rule_id AND x.name < y.name GROUP BY 1, 2",
-        "p5_by_run": _NAMES + "SELECT greatest(x.run_id, y.run_id) AS run_id, x.name AS name_a, y.name AS name_b, count(*) AS delta FROM m x JOIN m y ON x.rule_id = y.rule_id AND x.name < y.name GROUP BY 1, 2, 3",
+        "p5_current": _RUNS + "SELECT name_a, name_b, n AS shared FROM c WHERE run_id = (SELECT max(run_id) FROM d)",
+        "p5_by_run": _RUNS + """, z AS (SELECT run_id, name_a, name_b, n FROM c UNION ALL SELECT next, name_a, name_b, -n FROM c JOIN f USING (run_id) WHERE next IS NOT NULL)
+SELECT run_id, name_a, name_b, sum(n)::BIGINT AS delta FROM z GROUP BY 1, 2, 3 HAVING sum(n) <> 0""",
     }

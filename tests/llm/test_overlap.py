@@ -15,44 +15,44 @@ def pairs(state):
 def test_changes_add_up(spark):
     rng = random.Random(4)
     state: set = set()
-    members = spark.createDataFrame([], "item long, set string")
-    counts = spark.createDataFrame([], "a string, b string, n long")
+    members, counts = O.empty_members(spark.createDataFrame([], "item long, set string")), None
     for _ in range(3):
         batch = [(rng.randint(0, 30), rng.choice("abcde"), rng.random() < 0.6) for _ in range(80)]
         joins = {(i, s) for i, s, j in batch if j}
         leaves = {(i, s) for i, s, j in batch if not j} - joins
         state = (state - leaves) | joins
         dirty = [*batch, *batch[:5], (None, "a", True), (1, None, True), (1, "a", None)]
-        changes = spark.createDataFrame(dirty, "item long, set string, joins boolean")
-        members, counts = O.apply_changes(members, counts, changes)
-        members = spark.createDataFrame([tuple(r) for r in members.collect()], "item long, set string")
+        members, counts = O.apply_changes(members, counts, spark.createDataFrame(dirty, "item long, set string, joins boolean"))
+        members = spark.createDataFrame([tuple(r) for r in members.collect()], members.schema)
         counts = spark.createDataFrame([tuple(r) for r in counts.collect()], "a string, b string, n long")
-        assert {tuple(r) for r in members.collect()} == state
+        assert {(r["item"], s) for r in members.collect() for s in r["sets"]} == state
         assert {(r["a"], r["b"]): r["n"] for r in counts.collect()} == dict(pairs(state))
 
 
-def test_steps_and_bootstrap(spark):
+def test_steps_with_and_without_leaves(spark):
     rng = random.Random(9)
-    rows = [(rng.randint(0, 20), rng.choice("abcd"), rng.randint(1, 4)) for _ in range(120)]
-    df = spark.createDataFrame([*rows, (None, "a", 1)], "item long, set string, step int")
+    rows = [(rng.randint(0, 20), rng.choice("abcd"), rng.choice([1, 2, 5])) for _ in range(120)]
+    df = spark.createDataFrame([*rows, *rows[:9], (None, "a", 1), (1, None, 2), (1, "a", None)], "item long, set string, step int")
+    read = lambda counts: {(r["a"], r["b"]): r["n"] for r in counts.collect()}
+    assert read(O.maintained(df, leaves=False)) == dict(pairs({(i, s) for i, s, _ in rows}))
+    assert read(O.maintained(df, leaves=True)) == dict(pairs({(i, s) for i, s, t in rows if t == 5}))
     total = Counter()
-    for r in O.deltas_by_step(df).collect():
-        total[r["a"], r["b"]] += r["delta"]
-    want = pairs({(i, s) for i, s, _ in rows})
-    assert total == want
-    first = {}
-    for i, s, t in rows:
-        first[i, s] = min(t, first.get((i, s), 99))
-    upto2 = pairs({k for k, t in first.items() if t <= 2})
-    assert Counter({(r["a"], r["b"]): 0 for r in []}) + sum((Counter({(r["a"], r["b"]): r["delta"]}) for r in O.deltas_by_step(df).filter("step <= 2").collect()), Counter()) == upto2
-    from pyspark.sql import functions as F
+    for step, deltas in O.replay(df, leaves=True):
+        for r in deltas.collect():
+            total[r["a"], r["b"]] += r["delta"]
+        assert {k: n for k, n in total.items() if n} == dict(pairs({(i, s) for i, s, t in rows if t == step}))
+    assert O.maintained(df.limit(0), leaves=True).count() == 0
 
-    all_at_once = O.pair_deltas(None, df.select("item", "set", F.lit(True).alias("joins")))
-    assert {(r["a"], r["b"]): r["delta"] for r in all_at_once.collect()} == dict(want)
+
+def test_an_item_in_very_many_sets(spark):
+    n = 5_000
+    df = spark.range(n).selectExpr("7L AS item", "format_string('s%05d', id) AS set", "1 AS step").unionByName(spark.range(0, n, 50).selectExpr("8L", "format_string('s%05d', id)", "1").toDF("item", "set", "step"))
+    got = O.maintained(df, leaves=False).selectExpr("count(*)", "sum(n)", "count_if(a > b)").first()
+    one = lambda k: k * (k + 1) // 2
+    assert tuple(got) == (one(n), one(n) + one(100), 0)
 
 
 def test_similar(spark):
     counts = spark.createDataFrame([("a", "a", 10), ("b", "b", 10), ("c", "c", 10), ("a", "b", 4), ("a", "c", 3)], "a string, b string, n long")
     got = [(r["a"], r["b"]) for r in O.similar_pairs(counts, 25).collect()]
     assert got == [("a", "b")]
-    assert O.pair_deltas(None, spark.createDataFrame([], "item long, set string, joins boolean")).count() == 0
