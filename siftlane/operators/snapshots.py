@@ -1,15 +1,16 @@
 """What changed between full snapshots of a table (problem 1).
 
-Keys are dealt into buckets by hash. For every snapshot and bucket an invertible
-Bloom lookup table is built with Spark's aggregates: each (key hash, value hash)
-pair goes to one cell of each of three parts, and a cell keeps its count and the
-XOR of key hashes, value hashes and checks. Two successive tables are subtracted
-cell by cell; pairs that both snapshots hold vanish, and what remains is peeled
-from cells that hold a single pair. A digest of each bucket (count and XOR of
-another hash) has to agree with the peeled pairs. A bucket that can't be peeled, or
-whose digest differs, is tried again with ``ENLARGE`` times the cells, and after
-``ROUNDS`` rounds compared pair by pair. A key peeled from one side was added or
-removed; from both, it was changed.
+Keys are dealt into buckets by hash, and the rows of a bucket are brought together by
+the only shuffle of the table. For every snapshot and bucket an invertible Bloom
+lookup table is built with Spark's aggregates: each (key hash, value hash) pair goes to
+one cell of each of three parts, and a cell keeps its count and the XOR of key
+hashes, value hashes and checks. Two successive tables are subtracted cell by cell;
+pairs that both snapshots hold vanish, and what remains is peeled from cells that
+hold a single pair. A digest of each bucket (count and XOR of another hash) has to
+agree with the peeled pairs. How many cells a table needs follows from the churn of a
+sample of keys. A bucket that still can't be peeled, or whose digest differs, is read
+again, alone, with ``ENLARGE`` times the cells, and after ``ROUNDS`` rounds compared pair
+by pair. A key peeled from one side was added or removed; from both, it was changed.
 
 Only pairs that differ leave this; what both snapshots share never meets in a
 join. Bucket and key hash together make about 64 bits plus the bits of the bucket
@@ -27,12 +28,19 @@ from pyspark.sql import functions as F
 
 from ..runtime import settle
 
-KEYS_PER_BUCKET = 16_384
-#: Cells per key at first; three parts of equal size. Peeling needs about 1.3 cells for each differing pair.
-CELLS_PER_KEY = 1 / 8
+#: Rows of all snapshots that share a bucket, about.
+ROWS_PER_BUCKET = 16_384
+#: A bucket with so many times its share holds a key that repeats; its rows are thinned out before they are brought together.
+HOT_BUCKET = 4
+#: Rows, about, from which the churn is estimated; it sizes tables and decides nothing else.
+SAMPLE_ROWS = 32_768
+#: Cells for each differing pair. Peeling needs about 1.3; the rest is for what a sample misses. Cells are never shuffled, so they are cheap.
+CELLS_PER_PAIR, SPARE_CELLS = 2.0, 48
 PARTS = 3
 ENLARGE = 4
 ROUNDS = 3
+#: Changed key hashes up to which they are sent to all executors (16 bytes each).
+SENT_HASHES = 1_000_000
 #: Deliveries up to which their list (three numbers each) is sent to all executors.
 SENT_DELIVERIES = 100_000
 DIGEST = -1
@@ -151,24 +159,47 @@ def changes(df: DataFrame, key: str, snapshot: str, value: Column, order: str) -
     """
     total = df.count()
     narrow = df.select(df[key].cast("string").alias("key"), df[snapshot].cast("int").alias("at"), value.alias("value"), df[order].alias("order")).filter("key IS NOT NULL AND at IS NOT NULL")
-    numbers = narrow.select("at").distinct()  # one row per delivery
+    buckets = max(1, -(-total // ROWS_PER_BUCKET))
+    bucket = F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(buckets))
+    sizes = settle(narrow.groupBy("at", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")))  # one row per snapshot and bucket
+    numbers = sizes.select("at").distinct()  # one row per delivery
     following = settle(numbers.select("at", F.lead("at").over(Window.orderBy("at")).alias("next"), F.lag("at").over(Window.orderBy("at")).alias("last")))
     deliveries = max(1, following.count())
-    buckets = max(1, -(-total // (deliveries * KEYS_PER_BUCKET)))
-    size = max(16, int(min(KEYS_PER_BUCKET, total) * CELLS_PER_KEY) // PARTS + 1)
-    bucket = F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(buckets))
-    hashed = narrow.select("at", bucket.alias("bucket"), F.xxhash64("key").alias("kh"), F.xxhash64(F.lit(5), F.col("value")).alias("vh"), F.col("value").isNull().alias("none"), "order")
-    vh = F.when(F.col("none"), F.lit(0).cast("long")).otherwise(F.col("vh"))
-    holding = hashed.select("at", "bucket", "kh", vh.alias("vh"), "order").groupBy("at", "bucket", "kh").agg(F.max(F.struct("order", "vh"))["vh"].alias("vh"))
+    if deliveries <= SENT_DELIVERIES:
+        following = F.broadcast(following)
+    hot = sizes.groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_BUCKET * ROWS_PER_BUCKET).select("bucket", F.lit(True).alias("_hot"))
+    any_hot = not hot.isEmpty()
+
+    def hashed(rows: DataFrame) -> DataFrame:
+        vh = F.when(F.col("value").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(F.lit(5), F.col("value")))
+        return rows.select("at", bucket.alias("bucket"), F.xxhash64("key").alias("kh"), vh.alias("vh"), "order")
+
+    def latest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("at", "bucket", "kh").agg(F.max(F.struct("order", "vh")).alias("held"))
+
+    def holding(rows: DataFrame) -> DataFrame:
+        """The pair of each key and snapshot, with all rows of a bucket in one task."""
+        if any_hot:
+            marked = rows.join(hot, "bucket", "left")
+            thinned = latest(marked.filter("_hot"))  # one row per key and snapshot leaves each task
+            rows = marked.filter("_hot IS NULL").select(*rows.columns).unionByName(thinned.select("at", "bucket", "kh", "held.vh", "held.order").select(*rows.columns))
+        return latest(rows.repartition("bucket")).select("at", "bucket", "kh", F.col("held.vh").alias("vh"))
 
     def both_ways(rows: DataFrame) -> DataFrame:
         """Each row as part of the later (way 1) and of the earlier (way -1) snapshot of a comparison."""
         as_later = F.struct(F.when(F.col("last").isNotNull(), F.col("at")).alias("later"), F.lit(1).alias("way"))
         as_earlier = F.struct(F.col("next").alias("later"), F.lit(-1).alias("way"))
-        met = rows.join(F.broadcast(following) if deliveries <= SENT_DELIVERIES else following, "at").withColumn("side", F.explode(F.array(as_later, as_earlier))).filter("side.later IS NOT NULL")
+        met = rows.join(following, "at").withColumn("side", F.explode(F.array(as_later, as_earlier))).filter("side.later IS NOT NULL")
         return met.select(*[c for c in rows.columns if c != "at"], "side.later", "side.way")
 
-    own = _tables(holding.withColumn("sign", F.lit(1).cast("long")), ["at", "bucket"], size)
+    one_in = max(1, total // SAMPLE_ROWS)
+    sampled = hashed(narrow.filter(F.pmod(F.xxhash64(F.lit(9), "key"), F.lit(one_in)) == 0))
+    differ = both_ways(latest(sampled).select("at", "bucket", "kh", F.col("held.vh").alias("vh"))).groupBy("later", "kh", "vh").agg(F.sum("way").alias("n")).filter("n <> 0")
+    most = differ.groupBy("later").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    pairs = most * one_in / buckets
+    size = int(CELLS_PER_PAIR * (pairs + 4 * pairs**0.5) + SPARE_CELLS) // PARTS + 1
+
+    own = _tables(holding(hashed(narrow)).withColumn("sign", F.lit(1).cast("long")), ["at", "bucket"], size)
     subtracted = both_ways(own).groupBy("later", "bucket", "cell").agg(F.sum(F.col("n") * F.col("way")).alias("n"), *[F.bit_xor(c).alias(c) for c in ("k", "v", "c")])
     done = settle(_peeled(subtracted, size))
     results = [done.filter("sign <> 0")]
@@ -177,22 +208,27 @@ def changes(df: DataFrame, key: str, snapshot: str, value: Column, order: str) -
         if failed.isEmpty():
             break
         size *= ENLARGE
-        # rows of failed buckets only; a cell number must fit the 20 bits a part takes from the hash
-        again = both_ways(holding).join(failed, ["later", "bucket"]).withColumn("sign", F.col("way").cast("long"))
+        # rows of failed buckets only are read again; a cell number must fit the 20 bits a part takes from the hash
+        rows = hashed(narrow).join(failed.select("bucket").distinct(), "bucket", "left_semi")
+        again = both_ways(holding(rows)).join(failed, ["later", "bucket"]).withColumn("sign", F.col("way").cast("long"))
         if turn < ROUNDS and size < 1 << 20:
             done = settle(_peeled(_tables(again, ["later", "bucket"], size), size))
             results.append(done.filter("sign <> 0"))
             failed = done.filter("sign = 0").select("later", "bucket")
         else:
-            pairs = again.groupBy("later", "bucket", "kh", "vh").agg(F.sum("sign").alias("sign")).filter("sign <> 0")
-            results.append(pairs.select("later", "bucket", "kh", F.col("sign").cast("int").alias("sign")))
+            left = again.groupBy("later", "bucket", "kh", "vh").agg(F.sum("sign").alias("sign")).filter("sign <> 0")
+            results.append(left.select("later", "bucket", "kh", F.col("sign").cast("int").alias("sign")))
             break
     differing = results[0]
     for more in results[1:]:
         differing = differing.unionByName(more)
-    kinds = differing.groupBy("later", "bucket", "kh").agg(F.max("sign").alias("new"), F.min("sign").alias("old"))
+    kinds = settle(differing.groupBy("later", "bucket", "kh").agg(F.max("sign").alias("new"), F.min("sign").alias("old")))
     kind = F.when(F.col("new") < 0, "removed").when(F.col("old") > 0, "added").otherwise("changed")
-    names = narrow.select("key").distinct().select("key", bucket.alias("bucket"), F.xxhash64("key").alias("kh"))
+    wanted = kinds.select("bucket", "kh").distinct()
+    if kinds.count() <= SENT_HASHES:
+        wanted = F.broadcast(wanted)
+    # the text of a key is looked up for changed hashes only, and made single behind that
+    names = narrow.select("key", bucket.alias("bucket"), F.xxhash64("key").alias("kh")).join(wanted, ["bucket", "kh"], "left_semi").distinct()
     return kinds.join(names, ["bucket", "kh"]).select(F.col("key").alias("record_key"), F.col("later").alias("snapshot_no"), kind.alias("change_kind"))
 
 

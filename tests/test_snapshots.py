@@ -64,15 +64,20 @@ def test_against_brute_force(spark, keys, churn):
 def test_enlarging_and_exact_fallback(spark, monkeypatch):
     """So few cells that every bucket fails at first, and in the end is compared pair by pair."""
     rows = make(1, 400, 0.8)
-    monkeypatch.setattr(S, "CELLS_PER_KEY", 1 / 400)
+    monkeypatch.setattr(S, "CELLS_PER_PAIR", 0)
+    monkeypatch.setattr(S, "SPARE_CELLS", 6)
     assert set(run(spark, rows)) == brute(rows)
     monkeypatch.setattr(S, "ENLARGE", 1)
     assert set(run(spark, rows)) == brute(rows)
 
 
-def test_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(S, "KEYS_PER_BUCKET", 16)
-    rows = make(2, 300, 0.1)
+def test_many_buckets_and_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(S, "ROWS_PER_BUCKET", 16)
+    monkeypatch.setattr(S, "SENT_HASHES", 10)
+    monkeypatch.setattr(S, "SENT_DELIVERIES", 1)
+    rows = make(2, 100, 0.1)
+    day = datetime(2025, 1, 1)
+    rows += [("k3", at, "old", day - timedelta(days=i), "x") for at in (1, 2, 4) for i in range(300)]
     assert set(run(spark, rows)) == brute(rows)
 
 
