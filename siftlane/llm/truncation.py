@@ -1,26 +1,31 @@
 """Texts that break off before their end (problem 8).
 
-One pass over the texts gives each document min-hash bands of its five-word
-shingles and the state of its ending; it also counts the words that end in a full
-stop. Then:
-
-* **Near copies.** Documents that share a band meet the longest document of that
-  bucket (its hub) first. Pairs are verified on the full texts (Jaccard of five-word
-  shingles of 0.8 or more) and aligned: a copy whose last words lie inside the longer
-  copy, which goes on in the middle of a word or sentence, is cut off. Members that
-  no hub shows to be cut then meet every other member of their buckets that has their
-  last words somewhere and goes on behind them; without these no pair is a case, so
-  none is left out. A join on the hash of the last words finds them.
-* **Endings.** A closing mark that ends a sentence, note or quotation is an end; an
-  open bracket or quotation is none. A full stop counts unless its word is an
-  abbreviation: one that closes documents far more rarely than the words with a
-  full stop do on the whole. An ending without any mark is none, unless its last
-  unit of text is a formula: many documents close with it, and wherever it occurs
-  in the corpus, the text or line hardly ever goes on behind it.
-
-Statistics run over all documents. What reaches workers by broadcast is bounded:
-candidates for formulas are those that at least one in ``FORMULA_ONE_IN``
-documents closes with, so at most that many strings of ``UNIT_CHARS`` characters.
+One pass over the texts gives each document min-hash bands of its beginning at
+several lengths and the state of its ending; it also counts the words that end in a
+full stop. Then:
+
+* **Near copies.** A copy that was cut shares its beginning with the original, however
+  much is missing. So bands are made of the five-word shingles of the first ``LEVELS``
+  words: a document looks with those of the longest beginning it has, and is found by
+  those of all. Of the documents that share a band, a member meets those that have its
+  last words somewhere and go on behind them (a join on the hash of the last words);
+  from no other could it be told where the member stops. Pairs are verified on the
+  full texts (Jaccard of five-word shingles of 0.8 or more between the member and the
+  other text up to where the member stops) and aligned. If the other text goes on within a
+  word or line without an end of a sentence, the member is cut; if it begins a new line there, the
+  member is whole. Either decides, whatever its ending looks like. Equal texts are
+  compared once.
+* **Endings** decide the rest, by how terminal they are. A closing mark that ends a
+  sentence, note or quotation is an end; an open bracket or quotation is none. A full
+  stop counts unless its word is an abbreviation: one that closes documents far more
+  rarely than the words with a full stop do on the whole. An ending without any mark
+  is none, unless its last unit of text is a formula: several documents close with it
+  behind different texts, and wherever units of the corpus begin with it, the text or line hardly ever
+  goes on.
+
+Statistics run over all documents, and no threshold depends on their number. Units of
+text are counted and looked up by 64-bit hashes, in joins; workers get bit sieves of
+bounded size, which spare them most rows and lose none.
 """
 
 from __future__ import annotations
@@ -41,10 +46,12 @@ from .bpe import steps
 
 SHINGLE = 5
 SIMILAR = 0.8
-BANDS, ROWS = 12, 5
-UNIT_CHARS = 80
-FORMULA_ONE_IN = 20_000
-#: But at least so many, each behind another text.
+BANDS, ROWS = 6, 3
+#: Words of the beginnings that get bands.
+LEVELS = [10 * 3**k for k in range(12)]
+#: Characters, besides those of the last unit, that tell one context from another.
+CONTEXT_CHARS = 240
+#: A formula closes at least so many documents, each behind another text.
 FORMULA_LEAST = 3
 #: Share of a formula's occurrences behind which text or line ends.
 FORMULA_CLOSES = 0.8
@@ -52,7 +59,7 @@ FORMULA_CLOSES = 0.8
 RARER = 8
 #: Pairs up to which their ids are sent to all executors (about 24 bytes each) instead of shuffling all texts.
 SENT_PAIRS = 500_000
-#: Abbreviations up to which their table (at most 80 characters each) is sent to all executors.
+#: Rows up to which the tables of abbreviations and formulas are sent to all executors.
 SENT_WORDS = 100_000
 #: Documents that meet one part of a hub.
 HUB_ROWS = 5_000
@@ -117,7 +124,7 @@ def ending(whole: str) -> tuple[str, str | None]:
         return "broken", None
     last = text[-1]
     if last == ".":
-        word = re.sub(r"\d", "0", text[-UNIT_CHARS:].split()[-1].lower())
+        word = re.sub(r"\d", "0", text.rsplit(None, 1)[-1].lower())
         word = re.sub(r"^[\W_]+", "", word)
         return ("dot", word) if word else ("whole", None)
     if _ends_sentence(text):
@@ -127,7 +134,7 @@ def ending(whole: str) -> tuple[str, str | None]:
         before = text[: max(0, opener)].rstrip(" ")
         whole = not before or before[-1] in "\n\r\t–—-)]）”“»" or _ends_sentence(before)
         return ("whole" if whole else "broken"), None
-    return ("unit", text[-3 * UNIT_CHARS :]) if last.isalnum() else ("broken", None)
+    return ("unit", text) if last.isalnum() else ("broken", None)
 
 
 def _in_units(texts: pa.Array) -> pa.Array:
@@ -148,8 +155,8 @@ class Hasher:
         self._by = random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
         self._plus = random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
-    def run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-        """(words per text, rows that have bands, their bands, distinct words, counts of these)."""
+    def run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """(bands of all texts in a row, bands per text, distinct words, counts of these). A text has ``BANDS`` bands for each of its beginnings, the longest last."""
         words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(texts)))
         begin = words.offsets.to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
@@ -157,33 +164,70 @@ class Hasher:
         hashes = np.fromiter((self._hash(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
         counts = np.bincount(codes, minlength=len(hashes))
         n = np.diff(begin)
-        rows = np.flatnonzero(n >= SHINGLE)
         x = hashes[codes]
         rolled = np.zeros(max(0, len(x) - SHINGLE + 1), np.uint64)
         for k in range(SHINGLE):
             rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + x[k : len(rolled) + k]
         rolled ^= rolled >> np.uint64(29)
         rolled *= np.uint64(0xBF58476D1CE4E5B9)
-        small = (rolled >> np.uint64(32)).astype(np.uint32)
-        within = np.zeros(len(small), bool)
-        edges = np.zeros(len(small) + 1, np.int32)
-        np.add.at(edges, begin[rows], 1)
-        np.add.at(edges, begin[rows] + n[rows] - SHINGLE + 1, -1)
-        within = np.cumsum(edges[:-1]) > 0
-        small = small[within]
-        sizes = n[rows] - SHINGLE + 1
-        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        bands = np.zeros((len(rows), BANDS), np.uint64)
-        if len(rows):
+        small = np.concatenate([(rolled >> np.uint64(32)).astype(np.uint32), np.zeros(1, np.uint32)])
+        levels = np.searchsorted(LEVELS, n, "right")
+        at = np.concatenate([[0], np.cumsum(levels)])
+        bands = np.zeros((at[-1], BANDS), np.uint64)
+        least = np.full((BANDS * ROWS, len(n)), 0xFFFFFFFF, np.uint32)
+        done = 0
+        for level, length in enumerate(LEVELS):
+            rows = np.flatnonzero(levels > level)
+            if not len(rows):
+                break
+            # the shingles that this beginning has and the last one had not
+            edges = np.stack([begin[rows] + done, begin[rows] + length - SHINGLE + 1], 1).ravel()
+            done = length - SHINGLE + 1
             for band in range(BANDS):
-                key = np.full(len(rows), band + 1, np.uint64)
+                key = np.full(len(rows), (level + 1) * 64 + band, np.uint64)
                 for r in range(ROWS):
                     i = band * ROWS + r
-                    least = np.minimum.reduceat(small * self._by[i] + self._plus[i], starts)
-                    key = (key ^ least) * np.uint64(0x9FB21C651E98DF25)
+                    new = np.minimum.reduceat(small * self._by[i] + self._plus[i], edges)[::2]
+                    least[i, rows] = np.minimum(least[i, rows], new)
+                    key = (key ^ least[i, rows]) * np.uint64(0x9FB21C651E98DF25)
                     key ^= key >> np.uint64(31)
-                bands[:, band] = key
-        return n, rows, bands.view(np.int64), coded.dictionary, counts
+                bands[at[rows] + level, band] = key
+        return bands.ravel().view(np.int64), levels * BANDS, coded.dictionary, counts
+
+
+class Beginnings:
+    """64-bit hashes of what begins a unit, up to each of its characters."""
+
+    _BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self) -> None:
+        self._up = self._down = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self._up) <= n:
+            back = pow(self._BASE, -1, 1 << 64)
+            self._up, self._down = (np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(2 * n, b, np.uint64)])) for b in (self._BASE, back))
+
+    def run(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """For each character of ``codes`` the hash of its unit up to it; ``starts`` has the unit start of each character."""
+        self._powers(len(codes))
+        mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * self._up[: len(codes)], dtype=np.uint64)])
+        own = (total[1:] - total[starts]) * self._down[starts]
+        own ^= own >> np.uint64(31)
+        own *= np.uint64(0xBF58476D1CE4E5B9)
+        return (own ^ (own >> np.uint64(29))).view(np.int64)
+
+    def whole(self, unit: str) -> int:
+        codes = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return int(self.run(codes, np.zeros(len(codes), np.int64))[-1])
+
+    def of_unit(self, unit: str) -> list[int]:
+        """Hashes of a unit, and of what is left of it without marks or one token of markup at its beginning."""
+        bare = re.sub(r"^[\W_]+", "", unit)
+        rest = re.sub(r"^\w+[\W_]+", "", bare)
+        return [self.whole(x) for x in dict.fromkeys((unit, bare, rest)) if x]
 
 
 _MIX, _WORD = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -203,47 +247,56 @@ def last_words(text: str) -> tuple[int | None, str | None]:
     return value - (value >> 63 << 64), words[-1]
 
 
-_SCAN = "kind string, doc_id {id}, source string, n_chars int, before bigint, last string, bands array<bigint>, state string, closing string, context bigint, n bigint"
+_SCAN = "kind string, doc_id {id}, source string, digest binary, before bigint, last string, bands array<bigint>, state string, closing string, keys array<bigint>, context bigint, n bigint"
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """One row per document (kind ``doc``) and counts of words with a full stop (kind ``word``)."""
     id_type = docs.schema[id_col].dataType
     arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type.simpleString()]
-    names = ["kind", "doc_id", "source", "n_chars", "before", "last", "bands", "state", "closing", "context", "n"]
+    types = {"kind": pa.string(), "doc_id": arrow_id, "source": pa.string(), "digest": pa.binary(), "before": pa.int64(), "last": pa.string(), "bands": pa.list_(pa.int64()), "state": pa.string(), "closing": pa.string(), "keys": pa.list_(pa.int64()), "context": pa.int64(), "n": pa.int64()}
+
+    def batch_of(k: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(k, t)) for c, t in types.items()], list(types))
 
     def words_batch(seen: Counter) -> pa.RecordBatch:
-        k = len(seen)
-        null = lambda t: pa.nulls(k, t)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(["word"] * k), null(arrow_id), null(pa.string()), null(pa.int32()), null(pa.int64()), null(pa.string()), null(pa.list_(pa.int64())), null(pa.string()), pa.array(list(seen.keys()), pa.string()), null(pa.int64()), pa.array(list(seen.values()), pa.int64())], names
-        )
+        return batch_of(len(seen), kind=pa.array(["word"] * len(seen)), closing=pa.array(list(seen.keys()), pa.string()), n=pa.array(list(seen.values()), pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = Hasher(), Counter()
+        import xxhash
+
+        hasher, beginnings, seen = Hasher(), Beginnings(), Counter()
         for batch in steps(batches, "text"):
             texts = pc.fill_null(batch.column(2), "")
-            _, rows, bands, words, counts = hasher.run(texts)
+            bands, per_text, words, counts = hasher.run(texts)
             stop = pc.ends_with(words, ".").to_numpy(zero_copy_only=False)
             for word, count in zip(words.filter(pa.array(stop)).to_pylist(), counts[stop].tolist()):
                 seen[re.sub(r"^[\W_]+", "", re.sub(r"\d", "0", word))] += count
             full = texts.to_pylist()
             ends = [ending(t) for t in full]
-            closing = [c for _, c in ends]
-            context: list[int | None] = [None] * len(ends)
-            units = [i for i, (s, _) in enumerate(ends) if s == "unit"]
-            for i, text in zip(units, _in_units(pa.array([closing[i] for i in units], pa.string())).to_pylist()):
+            k = len(full)
+            context: list[int | None] = [None] * k
+            keys: list[list[int] | None] = [None] * k
+            units = [i for i, (state, _) in enumerate(ends) if state == "unit"]
+            for i, text in zip(units, _in_units(pa.array([ends[i][1] for i in units], pa.string())).to_pylist()):
                 at = max(text.rfind("\n"), text.rfind(_MARK)) + 1
-                closing[i], context[i] = text[at:].strip()[-UNIT_CHARS:], hasher.hash(closing[i])
+                keys[i], context[i] = beginnings.of_unit(text[at:].strip()), hasher.hash(ends[i][1][at - len(text) - CONTEXT_CHARS :])
             stripped = [strip_cut_signs(t) for t in full]
             last = [last_words(t) for t in stripped]
-            has = np.zeros(len(texts), bool)
-            has[rows] = True
-            offsets = np.concatenate([[0], np.cumsum(has * BANDS)])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bands.ravel(), pa.int64()))
-            k = len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(["doc"] * k), batch.column(0), batch.column(1), pa.array([len(t) for t in stripped], pa.int32()), pa.array([b for b, _ in last], pa.int64()), pa.array([w for _, w in last], pa.string()), lists, pa.array([s for s, _ in ends]), pa.array(closing, pa.string()), pa.array(context, pa.int64()), pa.nulls(k, pa.int64())], names
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_text)]), pa.int32()), pa.array(bands, pa.int64()))
+            yield batch_of(
+                k,
+                kind=pa.array(["doc"] * k),
+                doc_id=batch.column(0),
+                source=batch.column(1),
+                digest=pa.array([xxhash.xxh3_128_digest(t) for t in stripped], pa.binary()),
+                before=pa.array([b for b, _ in last], pa.int64()),
+                last=pa.array([w for _, w in last], pa.string()),
+                bands=lists,
+                state=pa.array([state for state, _ in ends]),
+                closing=pa.array([c if state == "dot" else None for state, c in ends], pa.string()),
+                keys=pa.array(keys, pa.list_(pa.int64())),
+                context=pa.array(context, pa.int64()),
             )
             if len(seen) > KEPT_WORDS:
                 yield words_batch(seen)
@@ -255,65 +308,82 @@ def scan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFr
     return narrow.mapInArrow(run, _SCAN.format(id=id_type.simpleString()))
 
 
-def formulas(docs: DataFrame, text_col: str, candidates: list[str]) -> DataFrame:
-    """``closing, closes, goes_on``: of the units of text that begin with a candidate, how many lines or texts end with it, and how many not."""
+def formulas(docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
+    """``key`` of the units that are formulas.
+
+    Candidates close ``FORMULA_LEAST`` documents or more, each behind another text (copies
+    count once). They are formulas if text or line ends behind ``FORMULA_CLOSES`` of the
+    units in the corpus that begin with them.
+    """
+    closing = rows.filter("size(keys) > 0").select(F.col("keys")[0].alias("key"), "context").groupBy("key", "context").agg(F.lit(1).alias("one"))
+    candidates = settle(closing.groupBy("key").agg(F.sum("one").alias("ends")).filter(F.col("ends") >= FORMULA_LEAST).select("key"))
+    n = candidates.count()
+    sent = docs.sparkSession.sparkContext.broadcast(_sieve(candidates.select(F.col("key").alias("before")), n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        find = ahocorasick.Automaton()
-        for i, c in enumerate(candidates):
-            find.add_word("\n" + c, i)
-            find.add_word(_MARK + c, i)
-        find.make_automaton()
-        closes, goes_on = np.zeros(len(candidates), np.int64), np.zeros(len(candidates), np.int64)
+        beginnings, mask = Beginnings(), np.uint64(len(sent.value) * 64 - 1)
+        keys, closes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for batch in steps(batches, "text"):
-            for text in _in_units(pc.drop_null(batch.column(0))).to_pylist():
-                text = "\n" + text.strip() + "\n"
-                for last, i in find.iter(text):
-                    if text[last + 1] == "\n":
-                        closes[i] += 1
-                    else:
-                        goes_on[i] += 1
-        at = np.flatnonzero(closes + goes_on)
-        yield pa.RecordBatch.from_arrays([pa.array([candidates[i] for i in at], pa.string()), pa.array(closes[at]), pa.array(goes_on[at])], ["closing", "closes", "goes_on"])
-
-    parts = docs.select(docs[text_col].alias("text")).mapInArrow(run, "closing string, closes bigint, goes_on bigint")
-    return parts.groupBy("closing").agg(F.sum("closes").alias("closes"), F.sum("goes_on").alias("goes_on"))
+            texts = _in_units(pc.drop_null(batch.column(0))).to_pylist()
+            codes = np.frombuffer(("\n" + "\n".join(t.strip() for t in texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+            line, mark = codes == ord("\n"), codes == ord(_MARK)
+            starts = np.maximum.accumulate(np.where(line | mark, np.arange(1, len(codes) + 1), 0))
+            hashes = beginnings.run(codes, np.minimum(starts, len(codes) - 1))
+            place = hashes.view(np.uint64) & mask
+            hit = (sent.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool) & ~line & ~mark
+            at = np.flatnonzero(hit)
+            keys.append(hashes[at])
+            closes.append(line[at + 1].astype(np.int64))
+            if sum(map(len, keys)) > KEPT_WORDS:
+                yield counted(keys, closes)
+                keys, closes = keys[:1], closes[:1]
+        yield counted(keys, closes)
+
+    def counted(keys: list[np.ndarray], closes: list[np.ndarray]) -> pa.RecordBatch:
+        one, where = np.unique(np.concatenate(keys), return_inverse=True)
+        return pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(np.bincount(where, np.concatenate(closes), len(one)).astype(np.int64)), pa.array(np.bincount(where, minlength=len(one)).astype(np.int64))], ["key", "closes", "all"])
+
+    if not n:
+        return candidates
+    parts = docs.select(docs[text_col].alias("text")).mapInArrow(run, "key bigint, closes bigint, all bigint")
+    known = parts.groupBy("key").agg(F.sum("closes").alias("closes"), F.sum("all").alias("all")).join(candidates, "key")
+    return settle(known.filter(F.col("closes") >= FORMULA_CLOSES * F.col("all")).select("key"))
 
 
 def shingles(words: list[str]) -> set[tuple[str, ...]]:
     return set(zip(*(words[k:] for k in range(SHINGLE))))
 
 
-def cut_inside(text: str, longer: str) -> bool:
-    """Whether ``text`` is a near copy of ``longer`` that stops where ``longer`` goes on within a word or sentence."""
+def aligned(text: str, longer: str) -> str | None:
+    """What ``longer`` tells of the end of ``text``: ``cut``, if ``text`` is a near copy of its beginning and it goes on within a word or sentence there; ``whole``, if it begins a new line there."""
     text = strip_cut_signs(text)
     spans = [m.span() for m in re.finditer(r"\S+", longer)]
     mine, other = text.split(), [longer[a:b] for a, b in spans]
-    a, b = shingles([w.lower() for w in mine]), shingles([w.lower() for w in other])
-    shared = len(a & b)
-    if not shared or shared < SIMILAR * (len(a) + len(b) - shared) or len(mine) <= SHINGLE:
-        return False
+    if len(mine) <= SHINGLE:
+        return None
     last = mine[-SHINGLE - 1 : -1]
     places = [p for p in range(len(other) - SHINGLE) if other[p + SHINGLE - 1] == last[-1] and other[p : p + SHINGLE] == last]
     if not places:
-        return False
+        return None
     at = min(places, key=lambda p: abs(p - (len(mine) - SHINGLE - 1))) + SHINGLE
     word, theirs = mine[-1], other[at]
-    if theirs == word:
-        follows = at + 1 < len(other) and not re.search(r"[\n\r\x0b\x0c]", longer[spans[at][1] : spans[at + 1][0]])
-        return follows and not _ends_sentence(word) and word[-1] not in _NO_BREAK
-    return theirs.startswith(word) and re.search(r"\w", theirs[len(word) :]) is not None
-
-
-def _quoted(text: str) -> str:
-    """``text`` as a Java pattern that matches just it."""
-    return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in text)
-
-
-def _cut_of(docs: DataFrame, met: DataFrame, n_pairs: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id`` of those documents of the pairs ``doc_id, hub_id`` that their hub shows to be cut off."""
+    if not theirs.startswith(word):
+        return None
+    a, b = shingles([w.lower() for w in mine[:-1]]), shingles([w.lower() for w in other[:at]])
+    shared = len(a & b)
+    if not shared or shared < SIMILAR * (len(a) + len(b) - shared):
+        return None
+    if theirs != word:
+        return "cut" if re.search(r"\w", theirs[len(word) :]) else None
+    if at + 1 == len(other):
+        return None
+    if re.search(r"[\n\r\x0b\x0c]", longer[spans[at][1] : spans[at + 1][0]]):
+        return "whole"
+    return None if _ends_sentence(word) or word[-1] in _NO_BREAK else "cut"
+
+
+def _told(docs: DataFrame, met: DataFrame, n_pairs: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, cut`` of those documents of the pairs ``doc_id, hub_id`` of which their hub tells whether they are cut; a hub that shows it to be cut holds."""
     # a hub that very many documents meet comes in several parts, each with its share of them
     sizes = met.groupBy(F.col("hub_id").alias("hub")).agg(F.count(F.lit(1)).alias("many"))
     sized = attach(met.withColumn("hub", F.col("hub_id")), sizes, ["hub"], ["many"], F.col("many"), n_pairs, F.col("doc_id"))
@@ -328,10 +398,11 @@ def _cut_of(docs: DataFrame, met: DataFrame, n_pairs: int, id_col: str, text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            cut = [t is not None and o is not None and cut_inside(t, o) for t, o in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(cut, pa.bool_()))], ["doc_id"])
+            told = [t and o and aligned(t, o) for t, o in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            at = [i for i, x in enumerate(told) if x]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array([told[i] == "cut" for i in at], pa.bool_())], ["doc_id", "cut"])
 
-    return settle(both.mapInArrow(run, f"doc_id {id_type}").distinct())
+    return settle(both.mapInArrow(run, f"doc_id {id_type}, cut boolean").groupBy("doc_id").agg(F.max("cut").alias("cut")))
 
 
 def _sieve(waiting: DataFrame, n: int) -> np.ndarray:
@@ -383,73 +454,62 @@ def _goes_on(docs: DataFrame, id_col: str, text_col: str, sieve: np.ndarray) ->
 
 
 def near_copies(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id`` of documents that a near copy shows to be cut off. Hubs are the longest without cut signs, in characters; a partner that goes on may still be the shorter one."""
-    members = scanned.filter("kind = 'doc' AND doc_id IS NOT NULL AND size(bands) > 0")
-    banded = members.select("doc_id", "n_chars", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct(F.col("n_chars").alias("w"), F.col("doc_id").alias("id"))).alias("hub"))
-    mixed = buckets.filter("members > 1").select("band", "members", F.col("hub.w").alias("hub_chars"), F.col("hub.id").alias("hub_id"))
-    total = scanned.filter("kind = 'doc'").count() * BANDS
-    met = attach(banded, mixed, ["band"], ["hub_id", "hub_chars", "members"], F.col("members"), total, F.struct("doc_id", "band"))
-    met_once = settle(met.select("doc_id", "hub_id", (F.col("hub_chars") > F.col("n_chars")).alias("first")).distinct())
-    first = met_once.filter("first").select("doc_id", "hub_id")
-    by_hub = _cut_of(docs, first, first.count(), id_col, text_col)
-    open_ids = met_once.select("doc_id").distinct().join(by_hub, "doc_id", "left_anti")
-    stops = F.col("last").rlike("[" + "".join(map(_quoted, _STOPS + _NO_BREAK)) + "]$")
-    waiting = settle(members.join(open_ids, "doc_id", "left_semi").filter("before IS NOT NULL").select("doc_id", "bands", "before", "last", stops.alias("stops")).distinct())
+    """``digest, cut`` of texts of which a near copy tells whether they are cut off."""
+    everyone = scanned.filter("kind = 'doc' AND doc_id IS NOT NULL AND before IS NOT NULL AND size(bands) > 0")
+    # equal texts are compared once
+    members = settle(everyone.groupBy("digest").agg(F.min(F.struct("doc_id", "bands", "before", "last")).alias("m")).select("digest", "m.*"))
+    top = F.size("bands") - BANDS
+    banded = members.select("doc_id", F.posexplode("bands").alias("at", "band"), top.alias("top")).withColumn("looks", F.col("at") >= F.col("top"))
+    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.count_if("looks").alias("looking"))
+    mixed = buckets.filter("members > 1 AND looking > 0").select("band", "looking")
+    total = members.count() * BANDS
+    looking = banded.filter("looks").select("doc_id", "band")
+    open_ids = attach(looking, mixed, ["band"], ["looking"], F.col("looking"), total, F.struct("doc_id", "band")).select("doc_id").distinct()
+    waiting = settle(members.join(open_ids, "doc_id", "left_semi").select("doc_id", "digest", F.slice("bands", top + 1, BANDS).alias("bands"), "before", "last"))
     n_waiting = waiting.count()
     if not n_waiting:
-        return by_hub
+        return waiting.select("digest", F.lit(None).cast("boolean").alias("cut"))
     places = _goes_on(docs, id_col, text_col, _sieve(waiting, n_waiting))
-    fits = (F.col("next") != F.col("last")) | (F.col("more") & ~F.col("stops"))
-    likely = waiting.join(places, "before").filter(F.expr("startswith(next, last)") & fits & (F.col("hub_id") != F.col("doc_id")))
+    fits = (F.col("next") != F.col("last")) | F.col("more")
+    likely = waiting.select("doc_id", "bands", "before", "last").join(places, "before").filter(F.expr("startswith(next, last)") & fits & (F.col("hub_id") != F.col("doc_id")))
     partners = members.select(F.col("doc_id").alias("hub_id"), F.col("bands").alias("hub_bands"))
-    pairs = likely.join(partners, "hub_id").filter(F.arrays_overlap("bands", "hub_bands")).select("doc_id", "hub_id").distinct()
-    pairs = settle(pairs.join(first, ["doc_id", "hub_id"], "left_anti"))
+    pairs = settle(likely.join(partners, "hub_id").filter(F.arrays_overlap("bands", "hub_bands")).select("doc_id", "hub_id").distinct())
     rounds = -(-pairs.count() // ROUND_PAIRS)
-    found = by_hub
+    told = waiting.limit(0).select("doc_id", F.lit(True).alias("cut"))
     for k in range(rounds):
-        now = settle(pairs.filter(F.pmod(F.xxhash64("hub_id"), F.lit(rounds)) == k).join(found, "doc_id", "left_anti"))
-        found = settle(found.union(_cut_of(docs, now, now.count(), id_col, text_col)))
-    return found
+        cut = told.filter("cut").select("doc_id")
+        now = settle(pairs.filter(F.pmod(F.xxhash64("hub_id"), F.lit(rounds)) == k).join(cut, "doc_id", "left_anti"))
+        told = settle(told.unionByName(_told(docs, now, now.count(), id_col, text_col)).groupBy("doc_id").agg(F.max("cut").alias("cut")))
+    return told.join(waiting.select("doc_id", "digest"), "doc_id").select("digest", "cut")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, source, state, truncated, near_copy`` for every row of ``docs``.
+    """``doc_id, source, state, truncated, decided_by`` for every row of ``docs``.
 
     ``truncated`` is false for null, empty and blank texts (state ``blank``).
-    Repeated rows come out repeatedly; a null id is judged by its ending alone; a
-    null source stays null. Texts of any length are read whole.
+    ``decided_by`` is ``copy`` where a near copy tells, else ``ending``. Repeated rows come
+    out repeatedly; a null source stays null. Texts of any length are read whole.
     """
     scanned = settle(scan(docs, id_col, text_col, source_col))
     rows = scanned.filter("kind = 'doc'")
-    n_docs = rows.count()
-    least = max(FORMULA_LEAST, -(-n_docs // FORMULA_ONE_IN))
-    # copies of one text close behind the same text and count once
-    units = rows.filter("state = 'unit' AND closing <> ''").groupBy("closing", "context").count().groupBy("closing").agg(F.count(F.lit(1)).alias("ends"))
-    candidates = [r[0] for r in units.filter(F.col("ends") >= least).select("closing").collect()]  # at most FORMULA_ONE_IN
     words = scanned.filter("kind = 'word'").groupBy("closing").agg(F.sum("n").alias("total"))
-    last_words = rows.filter("state = 'dot'").groupBy("closing").agg(F.count(F.lit(1)).alias("ends")).join(words, "closing")
-    all_dots = scanned.agg(F.sum("n")).first()[0] or 1
-    usual = F.col("total") * (rows.filter("state = 'dot'").count() / all_dots)
-    short = last_words.filter((usual >= RARER) & (F.col("ends") * RARER < usual)).select(F.col("closing").alias("word"), F.lit(True).alias("turned"))
-    short = settle(short)
+    dots = rows.filter("state = 'dot'").groupBy("closing").agg(F.count(F.lit(1)).alias("ends"))
+    counts = scanned.agg(F.count_if(F.col("state") == "dot").alias("closed"), F.sum("n").alias("all")).first()
+    usual = F.col("total") * (counts["closed"] / (counts["all"] or 1))
+    short = settle(dots.join(words, "closing").filter((usual >= RARER) & (F.col("ends") * RARER < usual)).select(F.col("closing").alias("word"), F.lit(True).alias("short")))
+    few = lambda df: F.broadcast(df) if df.count() <= SENT_WORDS else df
     # other rows have no word to look up; a filler spreads them where the table isn't small enough to be sent
-    word = F.when(F.col("state") == "dot", F.col("closing")).otherwise(F.concat(F.lit(" "), F.pmod(F.xxhash64("doc_id"), F.lit(4096)).cast("string")))
-    looked_up = rows.select("doc_id", "source", "state", "closing", word.alias("word"))
-    judged = looked_up.join(F.broadcast(short) if short.count() <= SENT_WORDS else short, "word", "left").drop("word")
-    if candidates:
-        kept = formulas(docs, text_col, candidates).filter(F.col("closes") >= FORMULA_CLOSES * (F.col("closes") + F.col("goes_on")))
-        known = sorted(r[0] for r in kept.select("closing").collect())
-        # a unit may begin with left-overs of markup, so its end decides, from a word on
-        is_formula = F.lit(False)
-        if known:
-            tail = F.concat(F.lit(" "), F.col("closing"))
-            is_formula = tail.rlike(r"[^\p{L}\p{N}](?:" + "|".join(map(_quoted, known)) + ")$")
-        judged = judged.withColumn("turned", F.when(F.col("state") == "unit", F.when(is_formula, True)).otherwise(F.col("turned")))
-    copies = near_copies(docs, scanned, id_col, text_col).withColumn("near_copy", F.lit(True))
-    whole = judged.join(copies, "doc_id", "left").withColumn("near_copy", F.coalesce("near_copy", F.lit(False)))
-    by_ending = F.when(F.col("state").isin("blank", "whole"), False).when(F.col("state") == "broken", True).when(F.col("state") == "dot", F.col("turned").isNotNull()).otherwise(F.col("turned").isNull())
-    return whole.select(F.col("doc_id").alias(id_col), "source", "state", (by_ending | (F.col("near_copy") & (F.col("state") != "blank"))).alias("truncated"), "near_copy")
+    spread = F.concat(F.lit(" "), F.pmod(F.xxhash64("digest", "doc_id"), F.lit(4096)).cast("string"))
+    looked_up = rows.select("doc_id", "source", "digest", "state", "keys", F.when(F.col("state") == "dot", F.col("closing")).otherwise(spread).alias("word"))
+    known = formulas(docs, rows, text_col)
+    asked = looked_up.filter("size(keys) > 0").select("digest", F.explode("keys").alias("key")).distinct()
+    closed = settle(asked.join(few(known), "key", "left_semi").select("digest").distinct()).withColumn("formula", F.lit(True))
+    copies = near_copies(docs, scanned, id_col, text_col)
+    whole = looked_up.join(few(short), "word", "left").join(few(closed), "digest", "left").join(few(copies), "digest", "left")
+    state = F.col("state")
+    by_ending = F.when(state == "broken", True).when(state == "dot", F.col("short").isNotNull()).when(state == "unit", F.col("formula").isNull()).otherwise(False)
+    told = F.col("cut").isNotNull() & (state != "blank")
+    return whole.select(F.col("doc_id").alias(id_col), "source", "state", F.when(told, F.col("cut")).otherwise(by_ending).alias("truncated"), F.when(told, "copy").otherwise("ending").alias("decided_by"))
 
 
 def shares(judged: DataFrame) -> DataFrame:
