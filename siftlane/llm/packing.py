@@ -3,13 +3,16 @@
 Only the histogram of lengths reaches the driver: at most ``capacity`` rows,
 whatever the data. There the packing is planned:
 
-1. few-item *patterns* (tuples of lengths whose sum is the capacity, or a single
-   length) are enumerated over the lengths that occur;
-2. how often each pattern is used is fitted to the histogram by non-negative
-   least squares (accelerated projected gradient over the sparse pattern matrix);
-3. repeat counts are rounded down and cut to what is left of each length;
-4. the residual histogram is packed best-fit, longest first, in whole groups of
-   equal containers.
+1. few-item *patterns* that fill their room exactly are enumerated over the lengths
+   that occur, for whole containers and for halves of them;
+2. how often each pattern is used is fitted to the histogram by non-negative least
+   squares (accelerated projected gradient, until it no longer gains), then again on
+   the support, the strongest ``SUPPORT`` patterns of each length;
+3. repeat counts are rounded down, and the largest remainders up, as far as items are
+   left;
+4. 1 to 3 are repeated on what is left while patterns still take a part of it, and
+   the residual histogram is packed best-fit, longest first, in whole groups of equal
+   containers.
 
 The plan is a table of slots: for a length, a range of ranks and the containers
 these ranks go to. Its size depends on the capacity alone. Items are ranked
@@ -19,7 +22,7 @@ that a third of all items have is still spread over many tasks.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,9 +37,14 @@ from .bpe import DEFAULT_RANKS, count_tokens
 CAPACITY = 2048
 #: Items of one length that one task ranks.
 RANK_ROWS = 1 << 20
-#: Lengths on this grid are combined in patterns of four items.
-GRID = 32
-ROUNDS = 150
+#: How often a pattern of more than three items repeats one length.
+REPEATED = range(3, 12)
+#: Patterns kept for each length, by their repeats, when the fit is done again on its support.
+SUPPORT = 4
+#: The fit ends when this many rounds gain less than this share of the distance left, or after so many rounds.
+GAIN_ROUNDS, GAIN, MOST_ROUNDS = 20, 0.01, 400
+#: Patterns are fitted again while a turn fills at least this share of the containers that the rest needs.
+LEAST_TURN = 0.02
 
 
 @dataclass(frozen=True)
@@ -46,6 +54,9 @@ class Plan:
     capacity: int
     patterns: list[tuple[int, ...]]
     repeats: list[int]
+    #: Containers that fitted patterns fill, and the distance of each fit from its histogram, as a share of it.
+    by_patterns: int = 0
+    distances: tuple[float, ...] = ()
 
     @property
     def containers(self) -> int:
@@ -55,61 +66,109 @@ class Plan:
         return np.concatenate([[0], np.cumsum(np.array(self.repeats, dtype=np.int64))])[:-1].tolist() if self.repeats else []
 
 
-def enumerate_patterns(histogram: np.ndarray) -> list[np.ndarray]:
-    """Arrays of shape (patterns, items) with lengths that occur. Row sums are the capacity, but for single items."""
-    capacity = len(histogram) - 1
-    here = np.flatnonzero(histogram[1:] > 0) + 1
-    has = histogram > 0
-    found = [here[:, None]]
-    pair = here[(here <= capacity // 2) & has[capacity - here]]
-    found.append(np.stack([pair, capacity - pair], 1))
+def _with_sum(room: int, here: np.ndarray, has: np.ndarray, repeated: bool = True) -> list[np.ndarray]:
+    """Patterns of one to three items, and of one length ``repeated`` with a rest, whose sum is ``room``."""
+    here = here[here <= room]
+    found = [here[here == room][:, None]]
+    pair = here[(here <= room // 2) & has[room - here]]
+    found.append(np.stack([pair, room - pair], 1))
     a, b = (x.ravel() for x in np.meshgrid(here, here, indexing="ij"))
-    c = capacity - a - b
-    ok = (a <= b) & (b <= c)
-    ok[ok] = has[c[ok]]
-    found.append(np.stack([a[ok], b[ok], c[ok]], 1))
-    coarse = here[here % GRID == 0]
-    a, b, c = (x.ravel() for x in np.meshgrid(coarse, coarse, coarse, indexing="ij"))
-    d = capacity - a - b - c
-    ok = (a <= b) & (b <= c) & (d > 0)
-    ok[ok] = has[d[ok]]
-    found.append(np.stack([a[ok], b[ok], c[ok], d[ok]], 1))
-    for times in range(3, 8):
-        rest = capacity - times * here
+    ok = (a <= b) & (room - a - b >= b)
+    a, b = a[ok], b[ok]
+    ok = has[room - a - b]
+    found.append(np.stack([a[ok], b[ok], room - a[ok] - b[ok]], 1))
+    for times in REPEATED if repeated else ():
+        rest = room - times * here
         ok = rest > 0
         ok[ok] = has[rest[ok]]
         found.append(np.concatenate([np.repeat(here[ok][:, None], times, 1), rest[ok][:, None]], 1))
     return [x for x in found if len(x)]
 
 
-def fit_repeats(patterns: list[np.ndarray], histogram: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Non-negative repeat counts that bring the patterns' lengths closest to the histogram; long items weigh more."""
+def enumerate_patterns(histogram: np.ndarray) -> list[np.ndarray]:
+    """Arrays of shape (patterns, items) with lengths that occur. A row's sum is the capacity, or half of an even one."""
+    capacity = len(histogram) - 1
+    has = histogram > 0
+    has[0] = False
+    here = np.flatnonzero(has)
+    if capacity % 2:
+        return _with_sum(capacity, here, has)
+    return _with_sum(capacity, here, has, repeated=False) + _with_sum(capacity // 2, here, has)
+
+
+def fit_repeats(patterns: list[np.ndarray], histogram: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, float]:
+    """The patterns of the support, their non-negative repeat counts that bring the lengths closest to the histogram (long items weigh more), and the distance left as a share of it."""
     weight = 0.1 + np.arange(len(histogram)) / len(histogram)
-    scale = max(1.0, float(histogram.max()))
+    square, scale = weight**2, max(1.0, float(histogram.max()))
     goal = histogram / scale
-    rows = np.concatenate([p.ravel() for p in patterns])
-    of = np.concatenate([np.repeat(np.arange(len(p)), p.shape[1]) + start for p, start in zip(patterns, np.cumsum([0, *map(len, patterns)]))])
-    n = sum(map(len, patterns))
-    square = weight**2
-
-    def forward(x: np.ndarray) -> np.ndarray:
-        return np.bincount(rows, x[of], len(histogram))
-
-    def backward(r: np.ndarray) -> np.ndarray:
-        return np.bincount(of, (square * r)[rows], n)
-
-    probe = np.ones(n)
-    for _ in range(12):
-        probe /= np.linalg.norm(probe)
-        probe = backward(forward(probe))
-    step = 1 / (1.05 * np.linalg.norm(probe))
-    x, y, t = np.zeros(n), np.zeros(n), 1.0
-    for _ in range(rounds):
-        new = np.maximum(0, y - step * backward(forward(y) - goal))
-        t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        y = new + (t - 1) / t_new * (new - x)
-        x, t = new, t_new
-    return x * scale
+
+    def solve(rows: np.ndarray, of: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, float]:
+        forward = lambda x: np.bincount(rows, x[of], len(histogram))
+        backward = lambda r: np.bincount(of, (square * r)[rows], len(x))
+        probe = np.ones(len(x))
+        for _ in range(12):
+            probe /= np.linalg.norm(probe)
+            probe = backward(forward(probe))
+        step = 1 / (1.05 * np.linalg.norm(probe))
+        y, t, distance, past = x, 1.0, np.inf, np.inf
+        for k in range(MOST_ROUNDS):
+            new = np.maximum(0, y - step * backward(forward(y) - goal))
+            t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
+            y = new + (t - 1) / t_new * (new - x)
+            x, t = new, t_new
+            if k % GAIN_ROUNDS == 0:
+                distance = float(np.linalg.norm(weight * (forward(x) - goal)))
+                if past - distance < GAIN * distance:
+                    break
+                past = distance
+        return x, distance / max(1e-12, float(np.linalg.norm(weight * goal)))
+
+    spelled = lambda ps: (np.concatenate([p.ravel() for p in ps]), np.repeat(np.arange(sum(map(len, ps))), np.concatenate([np.full(len(p), p.shape[1]) for p in ps])))
+    rows, of = spelled(patterns)
+    x, _ = solve(rows, of, np.zeros(of[-1] + 1))
+    order = np.lexsort((-x[of], rows))
+    first = np.searchsorted(rows[order], np.arange(len(histogram)))
+    strong = np.zeros(len(x), bool)
+    strong[of[order[np.arange(len(order)) - first[rows[order]] < SUPPORT]]] = True
+    bounds = np.cumsum([0, *map(len, patterns)])
+    kept = [p for p in (p[strong[i:j]] for p, i, j in zip(patterns, bounds, bounds[1:])) if len(p)]
+    x, distance = solve(*spelled(kept), x[strong])
+    return kept, x * scale, distance
+
+
+def round_repeats(patterns: list[np.ndarray], repeats: np.ndarray, left: np.ndarray) -> dict[tuple[int, ...], int]:
+    """Whole repeats: rounded down, then one more for the largest remainders first, as far as ``left`` goes; it is used up."""
+    rows = [tuple(r) for p in patterns for r in p.tolist()]
+    whole = np.floor(repeats)
+    used: dict[tuple[int, ...], int] = defaultdict(int)
+    # remainders of nothing are tried last, by the same order
+    for order, most in ((np.flatnonzero(whole), whole), (np.argsort(whole - repeats, kind="stable"), np.ones(len(rows)))):
+        for i in order.tolist():
+            need = Counter(rows[i])
+            times = min(int(most[i]), *(int(left[n]) // k for n, k in need.items()))
+            if times:
+                for n, k in need.items():
+                    left[n] -= k * times
+                used[rows[i]] += times
+    return used
+
+
+def _halves_joined(halves: dict[tuple[int, ...], int], left: np.ndarray) -> dict[tuple[int, ...], int]:
+    """Whole containers of two halves each; the items of an odd one go back to ``left``."""
+    out: dict[tuple[int, ...], int] = defaultdict(int)
+    waiting: tuple[int, ...] | None = None
+    for half in sorted(halves):
+        times = halves[half]
+        if waiting is not None:
+            out[tuple(sorted(waiting + half))] += 1
+            times, waiting = times - 1, None
+        if times // 2:
+            out[tuple(sorted(half + half))] += times // 2
+        if times % 2:
+            waiting = half
+    for n in waiting or ():
+        left[n] += 1
+    return out
 
 
 def best_fit(histogram: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
@@ -149,24 +208,30 @@ def plan(histogram: np.ndarray) -> Plan:
     left = histogram.astype(np.int64).copy()
     left[0] = 0
     total: dict[tuple[int, ...], int] = defaultdict(int)
-    if left.any():
+    halves: dict[tuple[int, ...], int] = defaultdict(int)
+    distances = []
+    lengths = np.arange(capacity + 1)
+    while left.any():
         patterns = enumerate_patterns(left)
-        repeats = np.floor(fit_repeats(patterns, left.astype(float))).astype(np.int64)
-        at = 0
-        for group in patterns:
-            # single items are only a place for what fits nowhere; the residual does that better
-            chosen = [] if group.shape[1] == 1 and capacity > 1 else np.flatnonzero(repeats[at : at + len(group)]).tolist()
-            for i in chosen:
-                lengths, need = np.unique(group[i], return_counts=True)
-                times = int(min(repeats[at + i], (left[lengths] // need).min()))
-                if times:
-                    left[lengths] -= need * times
-                    total[tuple(group[i].tolist())] += times
-            at += len(group)
-        for pattern, times in best_fit(left):
-            total[tuple(sorted(pattern))] += times
+        if not patterns:
+            break
+        needed = (left * lengths).sum() / capacity
+        patterns, repeats, distance = fit_repeats(patterns, left.astype(float))
+        distances.append(distance)
+        filled = 0.0
+        for pattern, times in round_repeats(patterns, repeats, left).items():
+            is_half = 2 * sum(pattern) == capacity
+            (halves if is_half else total)[pattern] += times
+            filled += times / (1 + is_half)
+        if filled < LEAST_TURN * needed:
+            break
+    for pattern, times in _halves_joined(halves, left).items():
+        total[pattern] += times
+    by_patterns = sum(total.values())
+    for pattern, times in best_fit(left):
+        total[tuple(sorted(pattern))] += times
     ordered = sorted(total)
-    return Plan(capacity, ordered, [total[p] for p in ordered])
+    return Plan(capacity, ordered, [total[p] for p in ordered], by_patterns, tuple(distances))
 
 
 class Slots:

@@ -28,7 +28,11 @@ def test_little_room_left():
     lengths = np.clip(rng.lognormal(5.5, 1, 20000).astype(int), 1, 2048)
     histogram = np.bincount(lengths, minlength=2049)
     planned = check(histogram)
-    assert (histogram * np.arange(2049)).sum() / 2048 / planned.containers > 0.99
+    least = (histogram * np.arange(2049)).sum() / 2048
+    assert least / planned.containers > 0.995
+    assert planned.by_patterns > 0.9 * planned.containers
+    few = check(np.bincount(lengths[:800], minlength=2049))
+    assert few.by_patterns > 0.8 * few.containers
 
 
 def test_empty_plan():
