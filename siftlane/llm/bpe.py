@@ -11,9 +11,9 @@ Texts are cut into *units* in front of each single space that a non-space
 follows. No pre-token crosses such a cut, and what a unit splits into doesn't
 depend on its neighbours. So a batch is cut with Arrow's kernels, its distinct
 units are encoded once per Python worker, and ids are put together by Arrow
-``take``: the per-row work never reaches a Python loop. Units that are empty or
-begin with white space (runs of blanks) are joined to the unit before, text by
-text.
+``take``. Texts with units that are empty or begin with white space (runs of blanks;
+about one text in forty of parliament speeches) go through a Python loop of their own,
+which joins these to the unit before.
 
 Results: the ids of a null or empty text are an empty array. Special-token
 strings are ordinary text. Any row comes out once, repeated ones too.
@@ -37,6 +37,8 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Bytes of text that one step of a worker holds; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
+#: Rows that are decoded at once.
+DECODED_ROWS = 1_000
 #: Units that a worker remembers; beyond it the memory starts anew.
 REMEMBERED_UNITS = 400_000
 
@@ -197,6 +199,39 @@ def share_model(spark: SparkSession, rank_path: str = DEFAULT_RANKS) -> Broadcas
         return spark.sparkContext.broadcast(model_from_ranks(f.read()))
 
 
+def token_bytes(rank_file: bytes) -> pa.Array:
+    """The bytes of each id."""
+    entries = sorted((int(rank), base64.b64decode(token)) for token, rank in map(bytes.split, filter(None, rank_file.splitlines())))
+    return pa.array([token for _, token in entries], pa.large_binary())
+
+
+def decoded(ids: pa.Array, table: pa.Array) -> pa.Array:
+    """Texts of lists of ids; bytes that are no UTF-8 become replacement characters, a null list a null text."""
+    flat = ids.cast(pa.large_list(pa.int32()))
+    lists = pa.LargeListArray.from_arrays(flat.offsets, table.take(flat.values), mask=pc.is_null(flat) if flat.null_count else None)
+    joined = pc.binary_join(lists, pa.scalar(b"", pa.large_binary()))
+    try:
+        return joined.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([None if b is None else b.decode("utf-8", "replace") for b in joined.to_pylist()], pa.string())
+
+
+def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", rank_path: str = DEFAULT_RANKS) -> DataFrame:
+    """``id_col`` and ``text`` for every row of ids: the inverse of :func:`encode`. An empty list is an empty text; an id outside the vocabulary raises."""
+    with open(rank_path, "rb") as f:
+        shared = df.sparkSession.sparkContext.broadcast(f.read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = token_bytes(shared.value)
+        for batch in batches:
+            for low in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(low, DECODED_ROWS)
+                yield pa.RecordBatch.from_arrays([part.column(0), decoded(part.column(1), table)], ["id", "text"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(df[id_col].alias("id"), df[ids_col].alias("ids")).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
+
+
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank_path: str = DEFAULT_RANKS) -> DataFrame:
     """``id_col`` and ``ids`` (array of int) for every row of ``df``; other columns aren't read.
 

@@ -40,7 +40,8 @@ def modifier_set(text: Column) -> Column:
 
 def form() -> Column:
     """The bytes that state a rule: run and raw, or the other fields where raw is null."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit(NULL)) for c in ("rule_type", "wildcard", "normalized_domain", "modifiers")]
+    # the two marks are blanks, which don't count, so no field may hold them here
+    fields = [F.coalesce(F.translate(F.col(c).cast("string"), BETWEEN + NULL, ""), F.lit(NULL)) for c in ("rule_type", "wildcard", "normalized_domain", "modifiers")]
     run = F.coalesce(F.col("run_id").cast("string"), F.lit(NULL))
     return F.when(F.col("raw").isNotNull(), F.concat(run, F.lit(BETWEEN + "r"), F.col("raw"))).otherwise(F.concat(run, F.lit(BETWEEN + "f"), F.concat_ws(BETWEEN, *fields)))
 

@@ -8,8 +8,9 @@ Counts of evicted and refused values fall into the *light* part, a compact
 counter array. Sketches of partitions are merged bucket by bucket: equal hashes
 add up, the largest stay, the others fall into the light part.
 
-The number of sketches is a small multiple of the cores, however many splits the
-input has, so neither memory nor merge grow with the data.
+The number of sketches is bounded by a parameter, however many splits the input has, so
+neither memory nor merge grow with the data, and the estimates don't depend on the
+cluster.
 
 heavy count + light counter is never below a value's true count. So the values
 whose sum reaches the wanted share, and those of any light position that reaches
@@ -33,7 +34,8 @@ BUCKETS = 4096
 CELLS = 8
 EVICT_VOTES = 8
 LIGHT = 1 << 16
-SKETCHES_PER_CORE = 4
+#: Sketches at most; each takes one share of the input, whatever the cluster.
+SKETCHES = 256
 
 bucket_of = lambda key: key.bitwiseAND(F.lit(BUCKETS - 1))
 light_of = lambda key: F.shiftrightunsigned(key, 20).bitwiseAND(F.lit(LIGHT - 1))
@@ -94,10 +96,9 @@ class Sketch:
         self._drop(keys[refused], counts[refused])
 
 
-def sketch(keys: DataFrame) -> DataFrame:
+def sketch(keys: DataFrame, sketches: int = SKETCHES) -> DataFrame:
     """The merged sketch of a column ``key`` (bigint): rows ``part`` (heavy or light), ``slot, key, count``."""
-    sc = keys.sparkSession.sparkContext
-    several = keys.coalesce(max(1, SKETCHES_PER_CORE * sc.defaultParallelism))
+    several = keys.coalesce(sketches)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, any_ = Sketch(), False
@@ -137,7 +138,7 @@ def written(value: Column) -> Column:
     return F.when(~value.rlike(f"^({BLANKS})?$"), F.lower(F.regexp_replace(value, f"^{outer}|{outer}$", "")))
 
 
-def frequent(df: DataFrame, column: str, one_in: int = 200) -> DataFrame:
+def frequent(df: DataFrame, column: str, one_in: int = 200, sketches: int = SKETCHES) -> DataFrame:
     """Values of ``column`` held by at least one in ``one_in`` of its non-blank rows.
 
     Result: the value as written by :func:`written`, ``approx_count`` (heavy plus
@@ -145,7 +146,7 @@ def frequent(df: DataFrame, column: str, one_in: int = 200) -> DataFrame:
     count nowhere; a value at exactly the share is in; an empty table gives no rows.
     """
     values = df.select(written(df[column]).alias("value")).filter(F.col("value").isNotNull()).select("value", F.xxhash64("value").alias("key"))
-    merged = settle(sketch(values.select("key")))  # at most BUCKETS * CELLS + LIGHT rows
+    merged = settle(sketch(values.select("key"), sketches))  # at most BUCKETS * CELLS + LIGHT rows
     total = merged.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     least = max(1, -(-total // one_in))
     light = merged.filter("part = 'light'").select(F.col("slot").alias("light_slot"), F.col("count").alias("light_count"))

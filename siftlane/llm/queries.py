@@ -23,6 +23,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frequent.frequent(table(spark, sf_dir, "parsed"), "normalized_domain").select("normalized_domain")
 
 
+def p4_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frequent.frequent(table(spark, sf_dir, "parsed"), "normalized_domain", one_in=500).drop("approx_count")
+
+
 def p4_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frequent.frequent(table(spark, sf_dir, "parsed"), "normalized_domain", one_in=500)
 
@@ -67,6 +71,11 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts again, from their ids."""
+    return bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+
+
 def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"))
 
@@ -80,7 +89,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (p2_found, p2_rules, p4_found, p4_counts, p5_found, p5_overlaps, p5_current, p5_by_run, p6_ids, p7_packed, p8_found, p8_shares)
+    own = (p2_found, p2_rules, p4_found, p4_counts, p4_exact, p5_found, p5_overlaps, p5_current, p5_by_run, p6_ids, p6_decoded, p7_packed, p8_found, p8_shares)
     return {f.__name__: f for f in own}
 
 
@@ -139,6 +148,10 @@ SELECT min(parsed_id) AS keep_id, run_id, k || ' ' || w || ' ' || d || ' ' || m
         "p4_found": r"""WITH v AS (SELECT lower(regexp_replace(normalized_domain, '^[.\s\pZ]+|[.\s\pZ]+$', '', 'g')) AS normalized_domain FROM parsed
   WHERE regexp_matches(normalized_domain, '[^\s\pZ]'))
 SELECT normalized_domain FROM v GROUP BY 1 HAVING count(*) * 200 >= (SELECT count(*) FROM v)""",
+        "p4_exact": r"""WITH v AS (SELECT lower(regexp_replace(normalized_domain, '^[.\s\pZ]+|[.\s\pZ]+$', '', 'g')) AS normalized_domain FROM parsed
+  WHERE regexp_matches(normalized_domain, '[^\s\pZ]'))
+SELECT normalized_domain, count(*) AS exact_count FROM v GROUP BY 1 HAVING count(*) * 500 >= (SELECT count(*) FROM v)""",
+        "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
         "p5_found": _NAMES + """, s AS (SELECT name, count(*) AS n FROM m GROUP BY 1),
 p AS (SELECT x.name AS name_a, y.name AS name_b, count(*) AS shared FROM m x JOIN m y ON x.rule_id = y.rule_id AND x.name < y.name GROUP BY 1, 2)
 SELECT name_a, name_b FROM p JOIN s a ON a.name = name_a JOIN s b ON b.name = name_b WHERE shared * 100 >= (a.n + b.n - shared) * 20""",

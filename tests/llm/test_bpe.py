@@ -34,11 +34,11 @@ def test_equals_public_library(encoder):
 
 
 def test_round_trip(encoder):
-    import base64
-
-    table = {int(r): base64.b64decode(t) for t, r in map(bytes.split, Path(bpe.DEFAULT_RANKS).read_bytes().splitlines())}
-    for text, ids in zip(ODD, split(encoder, ODD)):
-        assert b"".join(table[i] for i in ids).decode() == text
+    table = bpe.token_bytes(Path(bpe.DEFAULT_RANKS).read_bytes())
+    ids = pa.array(split(encoder, ODD), pa.list_(pa.int32()))
+    assert bpe.decoded(ids, table).to_pylist() == ODD
+    half = encoder.text("漢")[:1]
+    assert bpe.decoded(pa.array([half, None, []], pa.list_(pa.int32())), table).to_pylist() == ["\ufffd", None, ""]
 
 
 def test_memory_limits_change_nothing(encoder, monkeypatch):
@@ -53,6 +53,7 @@ def test_rows(spark):
     got = sorted((r["doc_id"] or 0, r["ids"]) for r in bpe.encode(df).collect())
     assert got[0][0] == 0 and got[1] == got[2] == (1, [64, 275]) and got[3:] == [(2, []), (3, [])]
     assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in bpe.count_tokens(df).collect()) == [(0, 1), (1, 2), (1, 2), (2, 0), (3, 0)]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in bpe.decode(bpe.encode(df)).collect()) == [(0, "x"), (1, "a b"), (1, "a b"), (2, ""), (3, "")]
     assert bpe.encode(df.limit(0)).count() == 0
 
 
