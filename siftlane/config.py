@@ -9,6 +9,7 @@ from pathlib import Path
 from typing import Any
 
 from .functions.domains import CATEGORY_PRIORITY
+from .operators.audit import LAYERS, SIGNALS, WEIGHTS, AuditOptions
 from .operators.compile import CompileOptions, FoldOptions
 from .operators.parse import ParseOptions
 from .plans.exports import FORMATS
@@ -32,18 +33,46 @@ class Source:
     timeout: int = 60
 
 
+@dataclass(frozen=True)
+class AuditConfig:
+    """The audit of allow rules: its options, the tables and feeds that it reads, and what it writes."""
+
+    enabled: bool = False
+    options: AuditOptions = AuditOptions()
+    #: Signal tables by name (Parquet), and feeds by source: ``hosts:NAME`` or ``csv:NAME`` with a path or address.
+    signals: dict[str, str] = field(default_factory=dict)
+    feeds: dict[str, str] = field(default_factory=dict)
+    feed_ttl_seconds: int = 3600
+    known_domains: str | None = None
+    ai_replies: str | None = None
+    cache_results: bool = False
+    by_rating: bool = True
+    by_category: bool = True
+    include_all_ratings: bool = False
+    categories: list[str] = field(default_factory=list)
+
+
 @dataclass(frozen=True)
 class MergeConfig:
     sources: list[Source]
     parse: ParseOptions = ParseOptions()
     compile: CompileOptions = CompileOptions()
+    audit: AuditConfig = AuditConfig()
     formats: list[str] = field(default_factory=lambda: ["hosts", "domains"])
     tiered: bool = True
+    diff: bool = True
     suffix_list: str | None = None
     failure_threshold: float = 0.5
     retries: int = 2
     retry_delay: float = 1.0
     backoff: str = "linear"
+    concurrency: int = 50
+    source_deadline: float = 120.0
+    cache_folder: str | None = None
+    cache_ttl_seconds: int = 0
+    negative_ttl_seconds: int = 0
+    cache_parsed: bool = True
+    use_cache: bool = True
 
     @property
     def enabled(self) -> list[Source]:
@@ -70,7 +99,29 @@ _SETTINGS: list[tuple[str, str, type, float | None, float | None]] = [
     ("download", "retries", int, 0, 10),
     ("download", "retry_delay", float, 0, 60),
     ("download", "backoff", str, None, None),
+    ("download", "concurrency", int, 1, 1000),
+    ("download", "source_deadline", float, 0, 3600),
+    ("fold", "suffix_guard", bool, None, None),
+    ("fold", "suffix_list", str, None, None),
+    ("cache", "folder", str, None, None),
+    ("cache", "ttl_seconds", int, 0, None),
+    ("cache", "negative_ttl_seconds", int, 0, None),
+    ("cache", "parsed", bool, None, None),
+    ("cache", "enabled", bool, None, None),
     ("output", "tiered", bool, None, None),
+    ("output", "diff", bool, None, None),
+    ("audit", "enabled", bool, None, None),
+    ("audit", "new_domain_days", int, 1, 3650),
+    ("audit", "ai_min_confidence", float, 0, 1),
+    ("audit", "ai_max_domains", int, 0, 1_000_000),
+    ("audit", "cache_results", bool, None, None),
+    ("audit", "cache_ttl_seconds", int, 0, None),
+    ("audit", "feed_ttl_seconds", int, 0, None),
+    ("audit", "known_domains", str, None, None),
+    ("audit", "ai_replies", str, None, None),
+    ("allow_output", "by_rating", bool, None, None),
+    ("allow_output", "by_category", bool, None, None),
+    ("allow_output", "include_all_ratings", bool, None, None),
 ]
 _CHOICES = {("fold", "mode"): ["count", "pattern"], ("download", "backoff"): ["linear", "exponential"]}
 
@@ -114,6 +165,9 @@ def check_config(document: Any) -> tuple[dict[tuple[str, str], Any], list[Source
             continue
         if raw.get("category", "other") not in CATEGORY_PRIORITY:
             problems.append(f"sources[{i}].category: must be one of {', '.join(CATEGORY_PRIORITY)}")
+        if not isinstance(raw.get("timeout", 60), int) or not 1 <= raw.get("timeout", 60) <= 600:
+            problems.append(f"sources[{i}].timeout: must be from 1 to 600")
+            continue
         sources.append(Source(str(raw["name"]), str(_resolved(raw["url"])), raw.get("category", "other"), bool(raw.get("enabled", True)), raw.get("id"), int(raw.get("timeout", 60))))
     if not any(s.enabled for s in sources):
         problems.append("sources: at least one must be enabled")
@@ -128,14 +182,38 @@ def check_config(document: Any) -> tuple[dict[tuple[str, str], Any], list[Source
     return settings, sources, list(formats), problems
 
 
-def load_config(path: str) -> MergeConfig:
+def _maps(document: Any, problems: list[str]) -> dict[str, Any]:
+    """Settings of the audit that are lists or maps."""
+    part = document.get("audit") if isinstance(document, dict) else None
+    part = part if isinstance(part, dict) else {}
+    allow = document.get("allow_output") if isinstance(document, dict) else None
+    found = {"off": part.get("off") or [], "weights": part.get("weights") or {}, "signals": part.get("signals") or {}, "feeds": part.get("feeds") or {}, "categories": (allow or {}).get("categories") or [] if isinstance(allow, dict) else []}
+    for key, kind in (("off", list), ("weights", dict), ("signals", dict), ("feeds", dict), ("categories", list)):
+        if not isinstance(found[key], kind):
+            problems.append(f"audit.{key}: must be a {'list' if kind is list else 'mapping'}")
+            found[key] = kind()
+    for key, known in (("off", LAYERS), ("weights", list(WEIGHTS)), ("signals", list(SIGNALS))):
+        problems += [f"audit.{key}: {x} is none of {', '.join(known)}" for x in found[key] if x not in known]
+    problems += [f"audit.weights.{k}: must be from 0 to 100" for k, v in found["weights"].items() if not isinstance(v, int) or not 0 <= v <= 100]
+    problems += [f"audit.feeds: {k} must begin with hosts: or csv:" for k in found["feeds"] if str(k).split(":")[0] not in ("hosts", "csv")]
+    return found
+
+
+def load_config(path: str, use_cache: bool = True) -> MergeConfig:
     """Reads and checks a YAML file; raises :class:`ConfigError` with everything that is wrong."""
     import yaml
 
-    settings, sources, formats, problems = check_config(yaml.safe_load(Path(path).read_text(encoding="utf-8")))
+    document = yaml.safe_load(Path(path).read_text(encoding="utf-8"))
+    settings, sources, formats, problems = check_config(document)
+    maps = _maps(document, problems)
     if problems:
         raise ConfigError(problems)
     of = lambda section, *but: {k: v for (s, k), v in settings.items() if s == section and k not in but}
-    fold = FoldOptions(**of("fold", "enabled"))
-    compile_ = CompileOptions(fold=fold, folding=settings.get(("fold", "enabled"), True), cascade=settings.get(("conflicts", "cascade"), True), resolve_conflicts=settings.get(("conflicts", "enabled"), True), provenance=True)
-    return MergeConfig(sources, ParseOptions(**of("parse")), compile_, formats, settings.get(("output", "tiered"), True), **of("download"))
+    get = lambda section, key, other: settings.get((section, key), other)
+    compile_ = CompileOptions(fold=FoldOptions(**of("fold", "enabled", "suffix_list")), folding=get("fold", "enabled", True), cascade=get("conflicts", "cascade", True), resolve_conflicts=get("conflicts", "enabled", True), provenance=True)
+    options = AuditOptions(weights=WEIGHTS | maps["weights"], off=tuple(maps["off"]), **{k: v for k, v in of("audit").items() if k in ("new_domain_days", "ai_min_confidence", "ai_max_domains", "cache_ttl_seconds")})
+    audit = AuditConfig(options=options, signals=maps["signals"], feeds=maps["feeds"], categories=maps["categories"], **of("allow_output"), **{k: v for k, v in of("audit").items() if k in ("enabled", "feed_ttl_seconds", "known_domains", "ai_replies", "cache_results")})
+    return MergeConfig(
+        sources, ParseOptions(**of("parse")), compile_, audit, formats, **of("output"), **of("download"), suffix_list=get("fold", "suffix_list", None),
+        cache_folder=get("cache", "folder", None), cache_ttl_seconds=get("cache", "ttl_seconds", 0), negative_ttl_seconds=get("cache", "negative_ttl_seconds", 0), cache_parsed=get("cache", "parsed", True), use_cache=use_cache and get("cache", "enabled", True),
+    )

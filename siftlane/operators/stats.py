@@ -106,6 +106,22 @@ def self_dedup(frame: DataFrame) -> DataFrame:
     return frame.select("source_ord", "raw_rules", "effective_rules", (F.col("raw_rules") - F.col("effective_rules")).alias("lost"), rate(F.col("raw_rules") - F.col("effective_rules"), F.col("raw_rules")).alias("self_dedup_rate"))
 
 
+def self_dedup_of(frame: DataFrame) -> DataFrame:
+    """All columns of :func:`contributions` with ``self_dedup_rate``."""
+    return frame.withColumn("self_dedup_rate", rate(F.col("raw_rules") - F.col("effective_rules"), F.col("raw_rules")))
+
+
+def overlap_order(pairs: DataFrame) -> DataFrame:
+    """Pairs with most common rules first; of equal ones the smaller sources."""
+    return pairs.orderBy(F.desc("overlap"), "source_a", "source_b")
+
+
+def dedup_rates(contributions: DataFrame) -> DataFrame:
+    """``raw_rules, rules, dedup_rate`` over all sources, where a rule counts once for each source that keeps it."""
+    total = contributions.agg(F.coalesce(F.sum("raw_rules"), F.lit(0)).alias("raw_rules"), F.coalesce(F.sum("effective_rules"), F.lit(0)).alias("rules"))
+    return total.withColumn("dedup_rate", rate(F.col("raw_rules") - F.col("rules"), F.col("raw_rules")))
+
+
 def with_modifiers(blocks: DataFrame) -> DataFrame:
     """Block rules that formats of bare domains leave out."""
     return blocks.agg(F.count_if(F.col("modifiers") != "").alias("skipped"))

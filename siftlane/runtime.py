@@ -30,11 +30,16 @@ def session(app: str = "siftlane", cores: str = "*") -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Set the checkpoint folder from the session's setting, or a local one if there is none."""
+    """Set the checkpoint folder from the session's setting; a folder of our own only where there is none and the session is local.
+
+    On a cluster the folder must be shared, so a session without the setting is refused.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
+    if not named and not sc.master.split("[")[0] == "local":
+        raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="siftlane-checkpoint-"))
 
 

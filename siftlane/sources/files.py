@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,8 @@ def read_lists(spark: SparkSession, sources: DataFrame) -> DataFrame:
         return spark.createDataFrame([], "source_ord int, line_no bigint, line string, category string")
     text = spark.read.text(paths).select(F.make_valid_utf8("value").alias("line"), F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("line_no"))
     key = F.regexp_replace(F.url_decode(F.regexp_replace("_file", r"\+", "%2B")), r"^file:/+", "/")
-    where = spark.createDataFrame([(r["source_ord"], str(Path(r["path"]).resolve()), r["category"]) for r in named], "source_ord int, _path string, category string")
+    here = lambda path: re.sub(r"^file:/+", "/", path) if ":/" in path else str(Path(path).resolve())
+    where = spark.createDataFrame([(r["source_ord"], here(r["path"]), r["category"]) for r in named], "source_ord int, _path string, category string")
     return text.withColumn("_path", key).join(F.broadcast(where), "_path").select("source_ord", "line_no", "line", "category")
 
 
@@ -47,9 +49,15 @@ def read_previous(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(strip_space(F.col("value")).alias("line")).filter("line <> '' AND NOT (line LIKE '!%' OR line LIKE '#%')").distinct()
 
 
+def previous_domains(previous: DataFrame) -> DataFrame:
+    """``domain`` of the rule lines of an earlier result; patterns have none."""
+    name = F.regexp_extract("line", r"^(?:@@)?\|\|(?:\*\.)?([^/^$\s]+)", 1)
+    return previous.select(name.alias("domain")).filter("domain <> ''").distinct()
+
+
 def write_parsed(parsed: DataFrame, path: str) -> None:
-    """Parsed rules by content hash and options, to be read instead of parsing again. Needs ``content_hash, options``."""
-    parsed.write.mode("overwrite").partitionBy("content_hash", "options").parquet(path)
+    """Adds parsed lines by content hash and options, to be read instead of parsing again. Needs ``content_hash, options``; those must not be there yet."""
+    parsed.write.mode("append").partitionBy("content_hash", "options").parquet(path)
 
 
 def read_parsed(spark: SparkSession, path: str, hashes: DataFrame, options: str) -> DataFrame:

@@ -9,6 +9,7 @@ from siftlane.config import check_config, load_config
 from siftlane.operators import skew
 from siftlane.plans import exports
 from siftlane.sources import cache, files, landing
+from siftlane.sources.store import Store
 
 YAML = """
 sources:
@@ -33,18 +34,22 @@ def test_merge(spark, tmp_path, capsys):
     (tmp_path / "old.txt").write_text("! x\n||a.com^\n||gone.com^\n")
     assert cli.main(["merge", "--config", str(path), "--output-dir", str(out), "--previous", str(tmp_path / "old.txt")]) == 0
     block = (out / "block.txt").read_text().splitlines()
-    assert block[0].startswith("! version: ") and block[1:] == ["||a.com^", "||b.com^", "||c.com^", "||��.com^"]
-    assert (out / "allow.txt").read_text().splitlines()[1:] == ["@@||x.a.com^"]
+    assert block[0].startswith("! version: ") and [x for x in block if x[:2] != "! "] == ["||a.com^", "||b.com^", "||c.com^", "||��.com^"]
+    assert (out / "allow.txt").read_text().splitlines()[3:] == ["@@||x.a.com^"]
     assert "0.0.0.0 b.com" in (out / "hosts.txt").read_text() and "  - DOMAIN-SUFFIX,c.com" in (out / "clash.txt").read_text()
     stats = json.loads((out / "stats.json").read_text())
-    assert stats["rules"] == {"before": 7, "block": 4, "allow": 1} and stats["dedup"]["exact_merged"] == 1 and stats["folding"]["exact_aggregated"] == 1
-    assert stats["categories"] == {"ads": 1, "tracking": 3} and stats["diff"] == {"added": 3, "removed": 1}
-    assert (out / "diff_removed.txt").read_text().splitlines()[1:] == ["||gone.com^"]
+    assert stats["rules"] == {"before": 7, "after_dedup": 6, "after": 5, "block": 4, "allow": 1, "dedup_rate": 28.6} and stats["dedup"]["exact_merged"] == 1 and stats["folding"]["exact_aggregated"] == 1
+    assert {k: v for k, v in stats["categories"].items() if v} == {"ads": 1, "tracking": 3} and len(stats["categories"]) == 6
+    assert stats["diff"] == {"added": 3, "removed": 1, "allow_added": 0, "allow_removed": 0} and stats["sources"]["not_parsed_again"] == 0
+    assert (out / "diff_removed.txt").read_text().splitlines()[1:] == ["gone.com"]
+    assert json.loads((out / "contributions.json").read_text())[0]["rule_categories"] and (out / "tiered" / "tracking.txt").exists()
     assert "# Merge" in (out / "report.md").read_text()
     page = (out / "report.html").read_text()
     assert "<th>A</th>" in page and '"content_version"' in page
     again = tmp_path / "again"
-    cli.main(["merge", "--config", str(path), "--output-dir", str(again), "--quiet"])
+    cli.main(["merge", "--config", str(path), "--output-dir", str(again), "--cache-dir", str(out / ".cache"), "--quiet"])
+    stats = json.loads((again / "stats.json").read_text())
+    assert stats["sources"]["not_parsed_again"] == 2 and stats["dropped"]["comment_dropped"] == 1
     assert (again / "block.txt").read_bytes() == (out / "block.txt").read_bytes()
 
 
@@ -69,6 +74,37 @@ def test_no_conflicts(spark, tmp_path):
     assert json.loads((out / "conflicts.json").read_text()) == []
 
 
+def test_audit_in_merge(spark, tmp_path):
+    """The audit runs in a merge, writes records, summary and graded lists, and keeps its results for the next run."""
+    path = config(tmp_path, "@@||ads.good.com^\n@@||bad.com^\n@@||cdn.new.com^\n@@||broken.com^\n", "||x.com^\n")
+    spark.createDataFrame([("cdn.new.com", 3, "R1")], "domain string, domain_age_days int, registrar string").write.parquet(str(tmp_path / "rdap"))
+    spark.createDataFrame([("broken.com", "layer raised")], "domain string, error string").write.parquet(str(tmp_path / "failed"))
+    (tmp_path / "hosts").write_text("bad.com\n")
+    (tmp_path / "known.csv").write_text("social,bad.com\n")
+    more = f"""
+audit:
+  enabled: true
+  cache_results: true
+  off: [scam_check]
+  signals: {{rdap: {tmp_path}/rdap, failed: {tmp_path}/failed}}
+  feeds: {{"hosts:URLhaus": {tmp_path}/hosts}}
+  known_domains: {tmp_path}/known.csv
+allow_output: {{include_all_ratings: true, categories: [advertising]}}
+"""
+    path.write_text(path.read_text() + more)
+    for turn, hits in ((1, 0), (2, 3)):  # a failed domain is asked again
+        out = tmp_path / f"out{turn}"
+        assert cli.main(["merge", "--config", str(path), "--output-dir", str(out), "--cache-dir", str(tmp_path / "cache"), "--quiet"]) == 0
+        audit = json.loads((out / "stats.json").read_text())["audit"]
+        assert {r: audit[r] for r in ("safe", "suspicious", "malicious", "unknown")} == {"safe": 1, "suspicious": 1, "malicious": 1, "unknown": 1}
+        assert audit["by_rating"]["malicious"]["social"] == 1 and audit["layer_hits"]["urlhaus"] == 1 and audit["layer_hits"]["rdap_new_domain"] == 1 and audit["disk_cache"]["hits"] == hits
+        records = json.loads((out / "allow_audit.json").read_text())
+        assert [r["domain"] for r in records] == ["bad.com", "cdn.new.com", "broken.com", "ads.good.com"] and len(records[0]) == 30
+        assert records[0]["sources"] == ["A"] and records[1]["rdap_registrar"] == "R1" and records[2]["recommendation"] == "review" and records[3]["category"] == "advertising"
+        assert (out / "allow_malicious.txt").read_text().splitlines()[3:] == ["@@||bad.com^"] and (out / "allow_by_category" / "safe_advertising.txt").exists() and (out / "allow_by_category" / "malicious_other.txt").exists()
+        assert "Audit layers" in (out / "report.md").read_text()
+
+
 def test_config_problems(tmp_path, capsys):
     bad = {"sources": [{"name": "A", "url": "u", "category": "x"}, {"name": "B", "url": "u", "enabled": False}, {"name": "C"}], "parse": {"min_domain_length": "4", "max_domain_length": 0}, "fold": {"mode": "other"}, "download": {"backoff": "cubic"}, "output": {"formats": ["pdf"]}}
     problems = check_config(bad)[3]
@@ -81,7 +117,7 @@ def test_config_problems(tmp_path, capsys):
     assert cli.main(["validate", "--config", str(path)]) == 1
 
 
-def test_landing(tmp_path):
+def test_landing(spark, tmp_path):
     replies = []
     asked = []
 
@@ -94,10 +130,10 @@ def test_landing(tmp_path):
 
     clock = [0.0]
     how = {"opener": opener, "now": lambda: clock[0], "sleep": lambda s: clock.__setitem__(0, clock[0] + s)}
-    get = lambda **more: landing.land("http://x/l", str(tmp_path), **how, **more)
+    get = lambda **more: landing.land("http://x/l", str(tmp_path), Store(spark), **how, **more)
     replies[:] = [OSError("Connection reset"), (200, {"ETag": "e1"}, b"||a.com^")]
     first = get()
-    assert first.ok and not first.cached and Path(first.path).read_bytes() == b"||a.com^"
+    assert first.ok and not first.cached and Store(spark).read(first.path) == b"||a.com^"
     replies[:] = [(304, {}, b"")]
     assert get().cached and asked[-1] == {"If-None-Match": "e1"}
     replies[:] = [(500, {}, b"")] * 3
@@ -107,7 +143,16 @@ def test_landing(tmp_path):
     replies[:] = [(404, {}, b"")]
     assert not get().ok
     replies[:] = [OSError("x")] * 9
-    assert landing.land("http://y", str(tmp_path), retries=8, delay=50, **how).error == "deadline exceeded"
+    assert landing.land("http://y", str(tmp_path), Store(spark), retries=8, delay=50, **how).error == "deadline exceeded"
+    replies[:] = [(200, {}, b"new")]
+    assert not get(use_cache=False).cached and get(ttl=1000).cached
+    replies[:] = [(200, {}, b"feed"), OSError("down")]
+    states = []
+    for wait in (0, 10, 5000):
+        clock[0] += wait
+        states.append(landing.feed("http://f", str(tmp_path), Store(spark), 3600, retries=0, **how)[1])
+    assert states == ["fresh", "cached", "stale"]
+    assert landing.clear(str(tmp_path), Store(spark)) > 0 and Store(spark).names(str(tmp_path)) == []
     assert [landing.backoff_delay(i, 1, k) for k in ("linear", "exponential") for i in range(3)] == [1, 2, 3, 1, 2, 4]
 
 
@@ -163,6 +208,21 @@ def test_stream(spark, tmp_path):
     C.start(spark, land, out, check).awaitTermination()
     got = {r["domain"]: (r["category"], r["source_ords"]) for r in C.current(spark, out).collect()}
     assert got == {"a.com": ("malware", [0, 1]), "b.com": ("ads", [1])}
+    Store(spark).remove(f"{out}/1/_DONE")
+    write([(2, 1, "||c.com^", "ads")])
+    with pytest.raises(Exception, match="doesn't find the table"):
+        C.start(spark, land, out, check).awaitTermination()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as N
+
+    from siftlane.runtime import ensure_checkpoint_dir
+
+    none = N(get=lambda *a: None)
+    sc = N(_jsc=N(sc=lambda: N(getCheckpointDir=lambda: N(isDefined=lambda: False))), getConf=lambda: none, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        ensure_checkpoint_dir(N(sparkContext=sc, conf=none))
 
 
 def test_script_safe():
