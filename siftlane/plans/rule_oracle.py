@@ -182,6 +182,14 @@ def _diff(first: str, second: str) -> str:
     return f"SELECT * FROM ({sides[first]}) EXCEPT SELECT * FROM ({sides[second]})"
 
 
+def _allow_diff(first: str, second: str) -> str:
+    """Domains of the allow rules of one set of sources that the other lacks."""
+    now = _with(*_cleared()) + "SELECT domain FROM al WHERE domain <> ''"
+    before = now.replace("(o_orderkey * 7 + 3) % 40 AS shape FROM orders)", "(o_orderkey * 7 + 3) % 40 AS shape FROM orders WHERE o_custkey % 6 <= 4)")
+    sides = {"now": now, "before": before}
+    return f"SELECT * FROM ({sides[first]}) EXCEPT SELECT * FROM ({sides[second]})"
+
+
 _RECORDS = f"""SELECT domain, {_TEXT.format(p='')} AS blocked_rule, category AS blocked_category, array_to_string(ords, ',') AS blocked_sources,
   '@@||' || CASE WHEN m.bw THEN '*.' ELSE '' END || m.up || '^' || CASE WHEN m.aw.m <> '' THEN '$' || m.aw.m ELSE '' END AS whitelist_rule, array_to_string(m.aw.o, ',') AS whitelist_sources, m.kind AS conflict_type FROM cf"""
 
@@ -224,7 +232,27 @@ def oracle_sql() -> dict[str, str]:
         "diff_added": _diff("now", "before"),
         "diff_removed": _diff("before", "now"),
         "contributions": _with(*stats) + "SELECT * FROM ct",
-        "contribution_rates": _with(*stats) + "SELECT source_ord, coalesce(round(round(effective_rules / nullif(raw_rules, 0) * 100, 1)), 0)::INTEGER AS coverage_per_cent, coalesce(round(round(unique_rules / nullif(effective_rules, 0) * 100, 1)), 0)::INTEGER AS unique_per_cent FROM ct",
+        "contribution_rates": _with(*stats) + "SELECT source_ord, effective_rules, raw_rules, unique_rules, coalesce(round_even(effective_rules / nullif(raw_rules, 0) * 100, 1), 0)::DOUBLE AS coverage_rate, coalesce(round_even(unique_rules / nullif(effective_rules, 0) * 100, 1), 0)::DOUBLE AS unique_rate FROM ct",
+        "dedup_rate": _with(*stats) + "SELECT r AS raw_rules, e AS rules, coalesce(round_even((r - e) / nullif(r, 0) * 100, 1), 0)::DOUBLE AS dedup_rate FROM (SELECT sum(raw_rules)::BIGINT AS r, sum(effective_rules)::BIGINT AS e FROM ct)",
+        "overlap_rates": _with(*stats) + "SELECT *, round_even(overlap / effective_a * 100, 1) AS rate_a, round_even(overlap / effective_b * 100, 1) AS rate_b, round_even(overlap / joint * 100, 1) AS jaccard, row_number() OVER (ORDER BY overlap DESC, source_a, source_b)::INTEGER AS place FROM ov",
+        "modifier_total": _with(*_final()) + "SELECT count(*) AS rules FROM (SELECT unnest(string_split(modifiers, ',')) AS modifier FROM fin) WHERE modifier <> ''",
+        "parse_rules_filter_ip": """WITH q AS (SELECT (o_custkey % 6)::INTEGER AS source_ord, o_orderkey AS line_no, o_orderkey AS k FROM orders)
+SELECT source_ord, line_no, CASE WHEN k % 3 = 0 THEN (k % 256) || '.' || (k % 7) || '.' || (k * 3 % 300) || '.' || (k % 11) ELSE 'd' || (k % 61) || '.example.com' END AS domain FROM q WHERE k % 3 <> 0 OR k * 3 % 300 > 255""",
+        "feed_hosts": "SELECT DISTINCT 'bad' || (o_orderkey % 97) || '.example.org' AS domain, 'URLhaus' AS source FROM orders WHERE o_orderkey % 11 > 4",
+        "previous_domains": _with(_LINES) + r"SELECT DISTINCT regexp_extract(line, '^(@@)?\|\|(\*\.)?([^/^$\s]+)', 3) AS domain FROM l WHERE regexp_matches(line, '^(@@)?\|\|(\*\.)?[^/^$\s]')",
+        "allow_diff": f"SELECT domain, 'added' AS side FROM ({_allow_diff('now', 'before')}) UNION ALL SELECT domain, 'removed' FROM ({_allow_diff('before', 'now')})",
+        "sidecar_rules": _with(*_parsed()) + "SELECT source_ord, line_no, domain, modifiers FROM r WHERE source_ord = 1",
+        "rdap_fields": """WITH q AS (SELECT o_orderkey, o_orderkey AS k, o_orderkey % 13 AS m, DATE '2024-01-01' + (o_orderkey % 300)::INTEGER AS reg, DATE '2024-01-01' + ((o_orderkey + 7) % 300)::INTEGER AS ex FROM orders)
+SELECT o_orderkey, CASE WHEN m > 3 THEN strftime(reg, '%Y-%m-%d') END AS registered_on, CASE WHEN m > 3 THEN strftime(ex, '%Y-%m-%d') END AS expires_on, CASE WHEN m > 3 THEN date_diff('day', reg, DATE '2024-11-01') END AS age_days,
+  CASE WHEN m > 3 THEN CASE WHEN k % 4 = 1 THEN 'Name ' || k % 5 ELSE 'H' || k % 3 END END AS registrar, m > 3 AND date_diff('day', reg, DATE '2024-11-01') < 30 AS is_new,
+  CASE m WHEN 0 THEN 'RDAP error: No such name' WHEN 3 THEN 'RDAP error: not found' WHEN 1 THEN 'empty response' WHEN 2 THEN 'empty response' END AS error FROM q""",
+        "audit_records": _with(*audit) + """SELECT domain, rule, rating, domain_category AS category, confidence AS category_confidence, reasons AS reason, h = 0 AS dns_nxdomain, CASE h WHEN 1 THEN '10.0.0.1' ELSE '192.0.2.10' END AS dns_ips, h = 2 AS urlhaus_malicious, h = 3 AS threatfox_malicious, h = 6 AS rdap_new_domain,
+  CASE h WHEN 6 THEN 5 END AS rdap_domain_age_days, h = 7 AS scam_suspicious, CASE h WHEN 7 THEN 'SUSPICIOUS' WHEN 8 THEN 'CAUTION' END AS scam_decision, CASE h WHEN 7 THEN 55 WHEN 8 THEN 90 ELSE 0 END AS scam_risk_score, false AS virustotal_malicious, h IN (4, 5) AS dnsbl_listed, h = 4 AS dnsbl_malicious,
+  CASE h WHEN 4 THEN 'SpamhausDBL:phishing' WHEN 5 THEN 'SpamhausDBL:spam' ELSE '' END AS dnsbl_hits, risk_score, {score} AS heuristics_score, recommendation, CASE recommendation WHEN 'remove' THEN '建议移除' WHEN 'review' THEN '建议复核' ELSE '建议保留' END AS recommendation_label, false AS ai_classified,
+  row_number() OVER (ORDER BY CASE rating WHEN 'malicious' THEN 0 WHEN 'suspicious' THEN 1 WHEN 'unknown' THEN 2 ELSE 3 END, domain, rule)::INTEGER AS place FROM (SELECT *, length(domain) * 7 % 20 AS h FROM au)""".replace("{score}", _SCORE),
+        "audit_failed": _with(*audit) + """SELECT DISTINCT domain, CASE WHEN f THEN 'unknown' ELSE rating END AS rating, CASE WHEN f THEN 0 ELSE risk_score END AS risk_score, CASE WHEN f THEN 'failed:down' ELSE reasons END AS reasons, CASE WHEN f THEN 'review' ELSE recommendation END AS recommendation, f AS failed FROM (SELECT *, length(domain) % 3 = 0 AS f FROM au)""",
+        "ai_categories": _with(*classes) + """, b AS (SELECT domain FROM cs WHERE confidence < 0.6 ORDER BY domain LIMIT 500), z AS (SELECT *, domain IN (SELECT domain FROM b) AND length(domain) % 3 <> 1 AS u FROM cs)
+SELECT domain, CASE WHEN u THEN CASE length(domain) % 3 WHEN 0 THEN 'social' ELSE 'cdn' END ELSE category END AS category, CASE WHEN u THEN round(greatest(confidence, least(length(domain) % 8 / 4.0, 1.0)::DOUBLE * 0.7::DOUBLE), 4) ELSE confidence END AS confidence, u AS ai_classified FROM z""",
         "source_categories": _with(*stats) + "SELECT source_ord, category, count(*) AS rules FROM sr GROUP BY 1, 2",
         "overlap_pairs": _with(*stats) + "SELECT * FROM ov",
         "overlap_heat": _with(*stats) + "SELECT source_a, source_b, CASE WHEN overlap * 5 < joint THEN 'low' WHEN overlap * 2 < joint THEN 'medium' WHEN overlap * 5 < joint * 4 THEN 'high' ELSE 'very high' END AS heat FROM ov",
@@ -234,7 +262,7 @@ def oracle_sql() -> dict[str, str]:
         "final_category_counts": _with(*_final()) + "SELECT category, count(*) AS rules FROM fb GROUP BY 1",
         "suffix_top20": _with(*_final()) + r"SELECT CASE WHEN regexp_matches(domain, '\.(co|com|net|org|gov|edu)\.[a-z]{2}$') THEN regexp_extract(domain, '([^.]+\.[^.]+\.[^.]+)$', 1) ELSE regexp_extract(domain, '([^.]+\.[^.]+)$', 1) END AS suffix, count(*) AS rules FROM fb WHERE domain <> '' GROUP BY 1 ORDER BY rules DESC, suffix LIMIT 20",
         "length_stats": _with(*_final()) + "SELECT count(*) AS domains, coalesce(sum(length(domain)), 0)::BIGINT AS total_length, min(length(domain))::INTEGER AS min_length, max(length(domain))::INTEGER AS max_length FROM fb WHERE domain <> ''",
-        "self_dedup": _with(*stats) + "SELECT source_ord, raw_rules, effective_rules, raw_rules - effective_rules AS lost FROM ct",
+        "self_dedup": _with(*stats) + "SELECT source_ord, raw_rules, effective_rules, raw_rules - effective_rules AS lost, coalesce(round_even((raw_rules - effective_rules) / nullif(raw_rules, 0) * 100, 1), 0)::DOUBLE AS self_dedup_rate FROM ct",
         "modifier_rules_skipped": _with(*_final()) + "SELECT count(*) FILTER (modifiers <> '') AS skipped FROM fb",
         "registered_domains": _with(*classes) + "SELECT domain, registered FROM rg",
         "domain_categories": _with(*classes) + "SELECT domain, category, confidence, matched_by FROM cs",
@@ -251,10 +279,12 @@ SELECT decision, score, t NOT IN ('CAUTION', 'TRUSTED') AND (t IN ('SUSPICIOUS',
 u AS (SELECT *, CASE WHEN ip NOT LIKE '127.0.0.%' THEN [] WHEN list_name = 'SpamhausDBL' THEN [CASE n WHEN 10 THEN 'spam' WHEN 11 THEN 'phishing' WHEN 12 THEN 'malware' WHEN 13 THEN 'botnet-c2' WHEN 14 THEN 'abused-spam' WHEN 15 THEN 'hijacked' ELSE 'code-' || n END]
   ELSE list_filter([CASE WHEN n & 4 > 0 THEN 'scam' END, CASE WHEN n & 8 > 0 THEN 'junk' END, CASE WHEN n & 16 > 0 THEN 'phishing' END, CASE WHEN n & 32 > 0 THEN 'malware' END, CASE WHEN n & 64 > 0 THEN 'abused-ads' END], lambda z: z IS NOT NULL) END AS x FROM q)
 SELECT list_name, ip, len(list_filter(x, lambda z: z IN ('scam', 'phishing', 'malware', 'botnet-c2'))) > 0 AS malicious, coalesce(array_to_string(x, ','), '') AS labels FROM u""",
-        "vt_scores": "WITH q AS (SELECT DISTINCT o_orderkey % 9 AS m, o_orderkey % 4 AS s, o_orderkey % 61 AS h, o_orderkey % 7 AS u FROM orders) SELECT m, s, h, u, m * 2 + s AS points, m + s + h + u > 0 AND (m + 0.5 * s) * 10 >= m + s + h + u AS malicious FROM q",
+        "vt_scores": "WITH q AS (SELECT DISTINCT o_orderkey % 9 AS m, o_orderkey % 4 AS s, o_orderkey % 61 AS h, o_orderkey % 7 AS u FROM orders) SELECT m, s, h, u, m * 2 + s AS points, coalesce(round_even((m + s * 0.5::DOUBLE) / nullif(m + s + h + u, 0), 3) * 1000, 0)::INTEGER AS thousandths, m + s + h + u > 0 AND (m + 0.5 * s) * 10 >= m + s + h + u AS malicious FROM q",
         "audit_fused": _with(*audit) + "SELECT domain, rule, rating, risk_score, reasons, recommendation FROM au",
         "audit_summary": _with(*audit) + """SELECT measure, bucket, count(*) AS rules FROM (SELECT 'rating' AS measure, rating AS bucket FROM au UNION ALL SELECT 'category', domain_category FROM au
   UNION ALL SELECT 'confidence', CASE WHEN confidence >= 0.9 THEN 'high' WHEN confidence >= 0.6 THEN 'medium' ELSE 'low' END FROM au
+  UNION ALL SELECT 'rating:category', rating || ':' || domain_category FROM au
+  UNION ALL SELECT 'layer', l FROM (SELECT reasons, unnest(['dns_nxdomain', 'dns_private_ip', 'urlhaus', 'threatfox', 'rdap_new_domain', 'scam_check', 'dnsbl_malicious', 'dnsbl_listed', 'heuristics']) AS l, unnest(['dns_nxdomain', 'dns_private_ip', 'URLhaus', 'ThreatFox', 'rdap_new_domain', 'scam_suspicious', 'dnsbl_malicious', 'dnsbl_listed', 'heuristics']) AS w FROM au) WHERE contains(reasons, w)
   UNION ALL SELECT 'risk', CASE WHEN risk_score >= 50 THEN 'high' WHEN risk_score >= 20 THEN 'medium' WHEN risk_score >= 1 THEN 'low' ELSE 'none' END FROM au) GROUP BY 1, 2""",
         "top_risky": _with(*audit) + "SELECT domain, rule, rating, risk_score FROM au WHERE risk_score > 0 ORDER BY risk_score DESC, domain, rule LIMIT 10",
         "ai_budget": _with(*classes) + "SELECT domain FROM cs WHERE confidence < 0.6 ORDER BY domain LIMIT 100",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import domains as D
@@ -15,7 +16,7 @@ from ..operators import parse as P
 from ..operators import stats as S
 from ..sources import cache, files
 from ..sources.fixture import rule_lines, sibling_lines
-from ..runtime import settle, table
+from ..runtime import ensure_checkpoint_dir, settle, table
 from . import exports, rule_oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,16 @@ def parse_rules_strip_www(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.rules_of(_parsed(spark, sf_dir, strip_www=True))
 
 
+@query
+def parse_rules_filter_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules on addresses are left out; numbers that are none stay."""
+    k, text = F.col("o_orderkey"), lambda c: c.cast("string")
+    ip = F.concat_ws(".", text(k % 256), text(k % 7), text(k * 3 % 300), text(k % 11))
+    line = F.concat(F.lit("||"), F.when(k % 3 == 0, ip).otherwise(F.concat(F.lit("d"), text(k % 61), F.lit(".example.com"))), F.lit("^"))
+    lines = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 6).cast("int").alias("source_ord"), k.alias("line_no"), line.alias("line"), F.lit("ads").alias("category"))
+    return P.rules_of(P.parse(lines, P.ParseOptions(filter_ip_rules=True))).select("source_ord", "line_no", "domain")
+
+
 @query
 def parse_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir).filter("drop_reason IS NOT NULL").groupBy("drop_reason").agg(F.count(F.lit(1)).alias("lines"))
@@ -283,7 +294,12 @@ def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def contribution_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _contributions(spark, sf_dir).select("source_ord", F.round("coverage_rate", 0).cast("int").alias("coverage_per_cent"), F.round("unique_rate", 0).cast("int").alias("unique_per_cent"))
+    return _contributions(spark, sf_dir).select("source_ord", "effective_rules", "raw_rules", "unique_rules", "coverage_rate", "unique_rate")
+
+
+@query
+def dedup_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.dedup_rates(_contributions(spark, sf_dir))
 
 
 @query
@@ -301,6 +317,14 @@ def overlap_heat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.overlap_rates(S.overlap_pairs(_compiled(spark, sf_dir).rules)).select("source_a", "source_b", "heat")
 
 
+@query
+def overlap_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rates, with the place of each pair in the order of reports."""
+    rated = S.overlap_rates(S.overlap_pairs(_compiled(spark, sf_dir).rules)).drop("heat")
+    in_order = Window.orderBy(F.desc("overlap"), "source_a", "source_b")  # one row per two sources
+    return rated.withColumn("place", F.row_number().over(in_order))
+
+
 @query
 def overlap_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.overlap_matrix(S.overlap_pairs(_compiled(spark, sf_dir).rules))
@@ -311,6 +335,11 @@ def modifier_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.modifier_counts(_compiled(spark, sf_dir).rules)
 
 
+@query
+def modifier_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.modifier_counts(_compiled(spark, sf_dir).rules).agg(F.coalesce(F.sum("rules"), F.lit(0)).alias("rules"))
+
+
 @query
 def rule_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.kind_counts(_compiled(spark, sf_dir).rules)
@@ -333,7 +362,7 @@ def length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def self_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.self_dedup(_contributions(spark, sf_dir)).drop("self_dedup_rate")
+    return S.self_dedup(_contributions(spark, sf_dir))
 
 
 @query
@@ -414,6 +443,55 @@ def feed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.feed_lookup(domains, twice)
 
 
+@query
+def feed_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of hosts with comments, markup, paths and blank lines in it."""
+    k = F.col("o_orderkey")
+    host = F.concat(F.lit(" Bad"), (k % 97).cast("string"), F.lit(".Example.ORG\t"))
+    value = F.when(k % 11 == 0, F.concat(F.lit("# "), host)).when(k % 11 == 1, "").when(k % 11 == 2, F.concat(F.lit("http://"), F.trim(host), F.lit("/x"))).when(k % 11 == 3, "nodots").when(k % 11 == 4, F.concat(F.lit("a b"), host)).otherwise(host)
+    return files.host_feed(table(spark, sf_dir, "orders").select(value.alias("value")), "URLhaus")
+
+
+@query
+def previous_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains of the rule lines of an earlier result; comments and patterns have none."""
+    return files.previous_domains(files.previous_lines(rule_lines(spark, sf_dir).select(F.col("line").alias("value"))))
+
+
+@query
+def allow_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allow domains that the sixth source adds or takes away."""
+    now, before = (K.compile_rules(r).allows.filter("domain <> ''").select("domain") for r in (_rules(spark, sf_dir), _rules(spark, sf_dir).filter("source_ord <= 4")))
+    side = lambda df, name: df.withColumn("side", F.lit(name))
+    return side(S.only_in(now, before), "added").unionByName(side(S.only_in(before, now), "removed"))
+
+
+@query
+def sidecar_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed rules of two sources, written by content hash and read again for one of them."""
+    parsed = _parsed(spark, sf_dir).filter("source_ord <= 1").withColumns({"content_hash": F.concat(F.lit("h"), F.col("source_ord")), "options": F.lit("o")})
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/sidecar-{uuid.uuid4()}"
+    files.write_parsed(parsed, folder)
+    wanted = spark.createDataFrame([("h1",)], "content_hash string")
+    return P.rules_of(files.read_parsed(spark, folder, wanted, "o")).select("source_ord", "line_no", "domain", "modifiers")
+
+
+@query
+def rdap_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies with two registrations, cards, handles, errors and nothing at all."""
+    k = F.col("o_orderkey")
+    day = lambda add: F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (add % 300).cast("int")), "yyyy-MM-dd'T'00:00:00'Z'")
+    event = lambda kind, at: F.concat(F.lit(f'{{"eventAction":"{kind}","eventDate":"'), at, F.lit('"}'))
+    card = F.concat(F.lit(',"vcardArray":["vcard",[["version",{},"text","4.0"],["fn",{},"text","Name '), (k % 5).cast("string"), F.lit('"]]]'))
+    who = F.concat(F.lit('{"roles":["registrar"],"handle":"H'), (k % 3).cast("string"), F.lit('"'), F.when(k % 4 == 1, card).otherwise(""), F.lit("}"))
+    body = F.concat(F.lit('{"events":['), event("registration", F.lit("2001-01-01T00:00:00Z")), F.lit(","), event("registration", day(k)), F.lit(","), event("expiration", day(k + 7)), F.lit('],"entities":['), who, F.lit("]}"))
+    reply = F.when(k % 13 == 0, F.lit('{"errorCode":404,"title":"No such name"}')).when(k % 13 == 1, F.lit("{}")).when(k % 13 == 2, F.lit("no json")).when(k % 13 == 3, F.lit('{"notFound":true}')).otherwise(body)
+    r = A.rdap(reply, F.lit("2024-11-01 12:00:00").cast("timestamp"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", r.alias("r"))
+    return rows.select("o_orderkey", F.date_format("r.registered_at", "yyyy-MM-dd").alias("registered_on"), F.date_format("r.expires_at", "yyyy-MM-dd").alias("expires_on"), F.col("r.domain_age_days").alias("age_days"), "r.registrar", "r.is_new", "r.error")
+
+
 @query
 def rdap_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -445,7 +523,7 @@ def vt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     n = table(spark, sf_dir, "orders").select((k % 9).alias("m"), (k % 4).alias("s"), (k % 61).alias("h"), (k % 7).alias("u")).distinct()
     score, bad = A.virustotal(F.col("m"), F.col("s"), F.col("h"), F.col("u"))
-    return n.select("m", "s", "h", "u", (F.col("m") * 2 + F.col("s")).alias("points"), F.coalesce(bad, F.lit(False)).alias("malicious"))
+    return n.select("m", "s", "h", "u", (F.col("m") * 2 + F.col("s")).alias("points"), (F.round(score * 1000, 0).cast("int")).alias("thousandths"), F.coalesce(bad, F.lit(False)).alias("malicious"))
 
 
 @query
@@ -454,6 +532,30 @@ def audit_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("domain", "rule", "rating", "risk_score", F.array_join("reasons", "; ").alias("reasons"), "recommendation")
 
 
+@query
+def audit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written records, with the place of each in the order of reports."""
+    columns = ["domain", "rule", "rating", "category", "category_confidence", "reason", "dns_nxdomain", "urlhaus_malicious", "threatfox_malicious", "rdap_new_domain", "rdap_domain_age_days", "scam_suspicious", "scam_decision", "scam_risk_score", "virustotal_malicious", "dnsbl_listed", "dnsbl_malicious", "risk_score", "heuristics_score", "recommendation", "recommendation_label", "ai_classified"]
+    place = F.row_number().over(Window.orderBy(A.rating_order(F.col("rating")), "domain", "rule"))  # allow rules are few; a report numbers them
+    return A.records(_audited(spark, sf_dir)).select(*columns, F.array_join("dnsbl_hits", ",").alias("dnsbl_hits"), F.array_join("dns_ips", ",").alias("dns_ips"), place.alias("place"))
+
+
+@query
+def audit_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings where the audit of some domains failed."""
+    domains = _allow_domains(spark, sf_dir)
+    failed = domains.filter(F.length("domain") % 3 == 0).select("domain", F.lit("down").alias("error"))
+    return A.fuse(domains, _signals(domains) | {"failed": failed}).select("domain", "rating", "risk_score", F.array_join("reasons", "; ").alias("reasons"), "recommendation", "failed")
+
+
+@query
+def ai_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories of low confidence, improved by a classifier's replies within its budget."""
+    classified = _classified(spark, _all_domains(spark, sf_dir))
+    replies = classified.select("domain", F.when(F.length("domain") % 3 == 0, "social").when(F.length("domain") % 3 == 1, "nonsense").otherwise("cdn").alias("ai_category"), (F.length("domain") % 8 / 4.0).alias("ai_confidence"))
+    return A.with_ai(classified, replies, A.AuditOptions(ai_max_domains=500)).select("domain", "category", F.round("confidence", 4).alias("confidence"), "ai_classified")
+
+
 @query
 def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.summary(_audited(spark, sf_dir))

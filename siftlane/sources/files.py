@@ -33,9 +33,14 @@ def read_lists(spark: SparkSession, sources: DataFrame) -> DataFrame:
 
 
 def read_host_feed(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """``domain, source`` of a feed with one host per line; comments and lines with markup, paths or blanks are passed over."""
+    """``domain, source`` of a feed with one host per line, see :func:`host_feed`."""
+    return host_feed(spark.read.text(path), source)
+
+
+def host_feed(lines: DataFrame, source: str) -> DataFrame:
+    """``domain, source`` of lines ``value``; comments and lines with markup, paths or blanks are passed over, null lines too."""
     line = F.lower(strip_space(F.col("value")))
-    return spark.read.text(path).select(line.alias("domain")).filter(F.col("domain").contains(".") & ~F.col("domain").rlike(r"^#|[<>/ ]")).distinct().withColumn("source", F.lit(source))
+    return lines.select(line.alias("domain")).filter(F.col("domain").contains(".") & ~F.col("domain").rlike(r"^#|[<>/ ]")).distinct().withColumn("source", F.lit(source))
 
 
 def read_csv_feed(spark: SparkSession, path: str, source: str) -> DataFrame:
@@ -45,8 +50,13 @@ def read_csv_feed(spark: SparkSession, path: str, source: str) -> DataFrame:
 
 
 def read_previous(spark: SparkSession, path: str) -> DataFrame:
-    """``line`` of an earlier result: distinct lines that aren't comments."""
-    return spark.read.text(path).select(strip_space(F.col("value")).alias("line")).filter("line <> '' AND NOT (line LIKE '!%' OR line LIKE '#%')").distinct()
+    """``line`` of an earlier result, see :func:`previous_lines`."""
+    return previous_lines(spark.read.text(path))
+
+
+def previous_lines(lines: DataFrame) -> DataFrame:
+    """``line``: the distinct lines ``value`` that aren't comments."""
+    return lines.select(strip_space(F.col("value")).alias("line")).filter("line <> '' AND NOT (line LIKE '!%' OR line LIKE '#%')").distinct()
 
 
 def previous_domains(previous: DataFrame) -> DataFrame:
