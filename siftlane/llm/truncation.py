@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import attach
+from ..operators.snapshots import hash_pairs
 from ..runtime import settle
 from .bpe import steps
 
@@ -155,16 +156,18 @@ class Hasher:
         self._by = random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
         self._plus = random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
-    def run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-        """(bands of all texts in a row, bands per text, distinct words, counts of these). A text has ``BANDS`` bands for each of its beginnings, the longest last."""
+    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+        """(hashes of the words of all texts in a row, their codes, where each text begins, distinct words); words are in lower case."""
         words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(texts)))
         begin = words.offsets.to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
         codes = coded.indices.to_numpy()
         hashes = np.fromiter((self._hash(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-        counts = np.bincount(codes, minlength=len(hashes))
+        return hashes[codes], codes, begin, coded.dictionary
+
+    def bands(self, x: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bands of all texts in a row, bands per text). A text has ``BANDS`` bands for each of its beginnings, the longest last."""
         n = np.diff(begin)
-        x = hashes[codes]
         rolled = np.zeros(max(0, len(x) - SHINGLE + 1), np.uint64)
         for k in range(SHINGLE):
             rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + x[k : len(rolled) + k]
@@ -192,7 +195,7 @@ class Hasher:
                     key = (key ^ least[i, rows]) * np.uint64(0x9FB21C651E98DF25)
                     key ^= key >> np.uint64(31)
                 bands[at[rows] + level, band] = key
-        return bands.ravel().view(np.int64), levels * BANDS, coded.dictionary, counts
+        return bands.ravel().view(np.int64), levels * BANDS
 
 
 class Beginnings:
@@ -235,10 +238,11 @@ _NO_BREAK = ")]）;"
 
 
 def last_words(text: str) -> tuple[int | None, str | None]:
-    """Hash of the words before the last one that ``cut_inside`` looks for, and the last one; ``text`` has no cut signs."""
+    """Hash of the words before the last one that ``aligned`` looks for, and the last one, in lower case; ``text`` has no cut signs."""
     import xxhash
 
     words = text.rsplit(None, SHINGLE + 1)[-SHINGLE - 1 :]
+    words = [w.lower() for w in words]
     if len(words) <= SHINGLE:
         return None, None
     value = 0
@@ -251,7 +255,7 @@ _SCAN = "kind string, doc_id {id}, source string, digest binary, before bigint,
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """One row per document (kind ``doc``) and counts of words with a full stop (kind ``word``)."""
+    """One row per document (kind ``doc``; ``n`` are its words) and counts of words with a full stop (kind ``word``)."""
     id_type = docs.schema[id_col].dataType
     arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type.simpleString()]
     types = {"kind": pa.string(), "doc_id": arrow_id, "source": pa.string(), "digest": pa.binary(), "before": pa.int64(), "last": pa.string(), "bands": pa.list_(pa.int64()), "state": pa.string(), "closing": pa.string(), "keys": pa.list_(pa.int64()), "context": pa.int64(), "n": pa.int64()}
@@ -268,7 +272,9 @@ def scan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFr
         hasher, beginnings, seen = Hasher(), Beginnings(), Counter()
         for batch in steps(batches, "text"):
             texts = pc.fill_null(batch.column(2), "")
-            bands, per_text, words, counts = hasher.run(texts)
+            hashes, codes, begin, words = hasher.words(texts)
+            bands, per_text = hasher.bands(hashes, begin)
+            counts = np.bincount(codes, minlength=len(words))
             stop = pc.ends_with(words, ".").to_numpy(zero_copy_only=False)
             for word, count in zip(words.filter(pa.array(stop)).to_pylist(), counts[stop].tolist()):
                 seen[re.sub(r"^[\W_]+", "", re.sub(r"\d", "0", word))] += count
@@ -297,6 +303,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFr
                 closing=pa.array([c if state == "dot" else None for state, c in ends], pa.string()),
                 keys=pa.array(keys, pa.list_(pa.int64())),
                 context=pa.array(context, pa.int64()),
+                n=pa.array([len(t.split()) for t in stripped], pa.int64()),
             )
             if len(seen) > KEPT_WORDS:
                 yield words_batch(seen)
@@ -357,8 +364,7 @@ def shingles(words: list[str]) -> set[tuple[str, ...]]:
 def aligned(text: str, longer: str) -> str | None:
     """What ``longer`` tells of the end of ``text``: ``cut``, if ``text`` is a near copy of its beginning and it goes on within a word or sentence there; ``whole``, if it begins a new line there."""
     text = strip_cut_signs(text)
-    spans = [m.span() for m in re.finditer(r"\S+", longer)]
-    mine, other = text.split(), [longer[a:b] for a, b in spans]
+    mine, other = text.split(), longer.split()
     if len(mine) <= SHINGLE:
         return None
     last = mine[-SHINGLE - 1 : -1]
@@ -367,7 +373,8 @@ def aligned(text: str, longer: str) -> str | None:
         return None
     at = min(places, key=lambda p: abs(p - (len(mine) - SHINGLE - 1))) + SHINGLE
     word, theirs = mine[-1], other[at]
-    if not theirs.startswith(word):
+    # what tells nothing needn't be verified
+    if not theirs.startswith(word) or (theirs == word and at + 1 == len(other)):
         return None
     a, b = shingles([w.lower() for w in mine[:-1]]), shingles([w.lower() for w in other[:at]])
     shared = len(a & b)
@@ -375,9 +382,8 @@ def aligned(text: str, longer: str) -> str | None:
         return None
     if theirs != word:
         return "cut" if re.search(r"\w", theirs[len(word) :]) else None
-    if at + 1 == len(other):
-        return None
-    if re.search(r"[\n\r\x0b\x0c]", longer[spans[at][1] : spans[at + 1][0]]):
+    between = re.match(rf"\s*(?:\S+\s+){{{at}}}\S+(\s+)", longer)
+    if between and re.search(r"[\n\r\x0b\x0c]", between[1]):
         return "whole"
     return None if _ends_sentence(word) or word[-1] in _NO_BREAK else "cut"
 
@@ -415,65 +421,77 @@ def _sieve(waiting: DataFrame, n: int) -> np.ndarray:
     return sieve
 
 
-def _goes_on(docs: DataFrame, id_col: str, text_col: str, sieve: np.ndarray) -> DataFrame:
-    """``before, next, more, hub_id``: where texts have words that pass the sieve, the word behind them, and whether another follows that."""
-    sent = docs.sparkSession.sparkContext.broadcast(sieve)
-    id_type = docs.schema[id_col].dataType.simpleString()
+def _goes_on(docs: DataFrame, id_col: str, text_col: str, words_sieve: np.ndarray, pair_sieve: np.ndarray) -> DataFrame:
+    """``pair, next, more, hub_id``: where texts have last words of members and go on, the word behind them, and whether another follows that.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+    Where a text goes on tells how long a member that stops there is, and so, give or
+    take some words, which bands that member looks with; ``pair`` is the hash of such a
+    band of the text and the last words. The sieves hold last words and pairs of members.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((words_sieve, pair_sieve))
+    id_type = docs.schema[id_col].dataType.simpleString()
 
-        class Hashes(dict):
-            def __missing__(self, word: str) -> int:
-                value = self[word] = xxhash.xxh64_intdigest(word)
-                return value
+    def passes(sieve: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        place = hashes & np.uint64(len(sieve) * 64 - 1)
+        return (sieve[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
-        known, mask = Hashes(), np.uint64(len(sent.value) * 64 - 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
         for batch in steps(batches, "text"):
-            words: list[str] = []
-            ends = []
-            for text in pc.fill_null(batch.column(1), "").to_pylist():
-                words += text.split()
-                ends.append(len(words))
-            hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-            rolled = np.zeros(max(0, len(words) - SHINGLE), np.uint64)  # the word behind is there too
+            hashes, codes, starts, words = hasher.words(pc.fill_null(batch.column(1), ""))
+            rolled = np.zeros(max(0, len(hashes) - SHINGLE), np.uint64)  # the word behind is there too
             for k in range(SHINGLE):
                 rolled = rolled * np.uint64(_MIX) + hashes[k : len(rolled) + k]
-            place = rolled & mask
-            at = np.flatnonzero(sent.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1))
-            row = np.searchsorted(ends, at, "right")
-            end = np.array(ends, np.int64)[row]
+            at = np.flatnonzero(passes(sent.value[0], rolled))
+            row = np.searchsorted(starts, at, "right") - 1
+            end = starts[row + 1]
             inside = at + SHINGLE < end
             at, row, end = at[inside], row[inside], end[inside]
-            yield pa.RecordBatch.from_arrays([pa.array(rolled[at].view(np.int64)), pa.array([words[i + SHINGLE] for i in at.tolist()], pa.string()), pa.array(at + SHINGLE + 1 < end), batch.column(0).take(pa.array(row))], ["before", "next", "more", "hub_id"])
-            if len(known) > KEPT_WORDS:
-                known.clear()
+            n = at + SHINGLE + 1 - starts[row]
+            bands, per_text = hasher.bands(hashes, starts)
+            first = np.concatenate([[0], np.cumsum(per_text)])
+            before = rolled[at].view(np.int64)
+            out: list[tuple[np.ndarray, np.ndarray]] = []
+            plain = np.searchsorted(LEVELS, n, "right")
+            for factor in (1.0, 0.9, 1.1):
+                level = np.searchsorted(LEVELS, n * factor, "right")
+                usable = np.flatnonzero((level > 0) & (level * BANDS <= per_text[row]) & ((factor == 1.0) | (level != plain)))
+                for band in range(BANDS):
+                    pair = hash_pairs(bands[first[row[usable]] + (level[usable] - 1) * BANDS + band], before[usable])
+                    hit = passes(sent.value[1], pair.view(np.uint64))
+                    out.append((pair[hit], usable[hit]))
+            pair, which = (np.concatenate(x) for x in zip(*out))
+            at, row, end = at[which], row[which], end[which]
+            yield pa.RecordBatch.from_arrays([pa.array(pair), words.take(pa.array(codes[at + SHINGLE])), pa.array(at + SHINGLE + 1 < end), batch.column(0).take(pa.array(row))], ["pair", "next", "more", "hub_id"])
 
     texts = docs.filter(docs[id_col].isNotNull()).select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    return texts.mapInArrow(run, f"before bigint, next string, more boolean, hub_id {id_type}")
+    return texts.mapInArrow(run, f"pair bigint, next string, more boolean, hub_id {id_type}")
 
 
 def near_copies(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``digest, cut`` of texts of which a near copy tells whether they are cut off."""
     everyone = scanned.filter("kind = 'doc' AND doc_id IS NOT NULL AND before IS NOT NULL AND size(bands) > 0")
     # equal texts are compared once
-    members = settle(everyone.groupBy("digest").agg(F.min(F.struct("doc_id", "bands", "before", "last")).alias("m")).select("digest", "m.*"))
-    top = F.size("bands") - BANDS
-    banded = members.select("doc_id", F.posexplode("bands").alias("at", "band"), top.alias("top")).withColumn("looks", F.col("at") >= F.col("top"))
-    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.count_if("looks").alias("looking"))
-    mixed = buckets.filter("members > 1 AND looking > 0").select("band", "looking")
-    total = members.count() * BANDS
-    looking = banded.filter("looks").select("doc_id", "band")
-    open_ids = attach(looking, mixed, ["band"], ["looking"], F.col("looking"), total, F.struct("doc_id", "band")).select("doc_id").distinct()
-    waiting = settle(members.join(open_ids, "doc_id", "left_semi").select("doc_id", "digest", F.slice("bands", top + 1, BANDS).alias("bands"), "before", "last"))
+    members = everyone.groupBy("digest").agg(F.min(F.struct("doc_id", "bands", "before", "last", "n")).alias("m")).select("digest", "m.*")
+    banded = members.select("doc_id", "n", F.posexplode("bands").alias("at", "band"), (F.size("bands") - BANDS).alias("top")).select("doc_id", "n", "band", (F.col("at") >= F.col("top")).alias("looks"))
+    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.count_if("looks").alias("looking"), F.max("n").alias("longest"))
+    mixed = buckets.filter("members > 1 AND looking > 0").select("band", "looking", "longest")
+    looking = banded.filter("looks").select("doc_id", "band", "n")
+    met = attach(looking, mixed, ["band"], ["looking", "longest"], F.col("looking"), scanned.count() * BANDS, F.struct("doc_id", "band"))
+    # a text that goes on within the last word has no more words
+    open_ids = met.filter("longest >= n").select("doc_id").distinct()
+    waiting = settle(members.join(open_ids, "doc_id", "left_semi").select("doc_id", "digest", F.slice("bands", F.size("bands") - BANDS + 1, BANDS).alias("bands"), "before", "last"))
     n_waiting = waiting.count()
     if not n_waiting:
         return waiting.select("digest", F.lit(None).cast("boolean").alias("cut"))
-    places = _goes_on(docs, id_col, text_col, _sieve(waiting, n_waiting))
-    fits = (F.col("next") != F.col("last")) | F.col("more")
-    likely = waiting.select("doc_id", "bands", "before", "last").join(places, "before").filter(F.expr("startswith(next, last)") & fits & (F.col("hub_id") != F.col("doc_id")))
-    partners = members.select(F.col("doc_id").alias("hub_id"), F.col("bands").alias("hub_bands"))
-    pairs = settle(likely.join(partners, "hub_id").filter(F.arrays_overlap("bands", "hub_bands")).select("doc_id", "hub_id").distinct())
+    # a bucket is split by the words before the last
+    asking = waiting.select("doc_id", "last", "before", F.explode("bands").alias("band")).select("doc_id", "last", F.xxhash64("band", "before").alias("pair"))
+    pair_sieve = _sieve(asking.select(F.col("pair").alias("before")), n_waiting * BANDS)
+    going_on = _goes_on(docs, id_col, text_col, _sieve(waiting, n_waiting), pair_sieve)
+    # equal texts stand for one another, as members and as what goes on
+    fits = F.expr("startswith(next, last)") & ((F.col("next") != F.col("last")) | F.col("more")) & (F.col("hub_id") != F.col("doc_id"))
+    likely = asking.join(going_on, "pair").filter(fits).select("doc_id", "hub_id").distinct()
+    pairs = settle(likely.join(members.select(F.col("doc_id").alias("hub_id")), "hub_id", "left_semi"))
     rounds = -(-pairs.count() // ROUND_PAIRS)
     told = waiting.limit(0).select("doc_id", F.lit(True).alias("cut"))
     for k in range(rounds):
@@ -494,7 +512,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rows = scanned.filter("kind = 'doc'")
     words = scanned.filter("kind = 'word'").groupBy("closing").agg(F.sum("n").alias("total"))
     dots = rows.filter("state = 'dot'").groupBy("closing").agg(F.count(F.lit(1)).alias("ends"))
-    counts = scanned.agg(F.count_if(F.col("state") == "dot").alias("closed"), F.sum("n").alias("all")).first()
+    counts = scanned.agg(F.count_if(F.col("state") == "dot").alias("closed"), F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("all")).first()
     usual = F.col("total") * (counts["closed"] / (counts["all"] or 1))
     short = settle(dots.join(words, "closing").filter((usual >= RARER) & (F.col("ends") * RARER < usual)).select(F.col("closing").alias("word"), F.lit(True).alias("short")))
     few = lambda df: F.broadcast(df) if df.count() <= SENT_WORDS else df

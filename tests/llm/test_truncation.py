@@ -86,12 +86,12 @@ def test_in_a_crowded_bucket(spark, monkeypatch):
     """Every member of a bucket meets its full copy, though another text is the longest; pairs come in many rounds."""
     import numpy as np
 
-    def one_bucket(self, texts, run=T.Hasher.run):
-        bands, *rest = run(self, texts)
-        return np.full_like(bands, 7), *rest
+    def one_bucket(self, x, begin, bands=T.Hasher.bands):
+        found, per_text = bands(self, x, begin)
+        return np.full_like(found, 7), per_text
 
     monkeypatch.setattr(T, "ROUND_PAIRS", 1)
-    monkeypatch.setattr(T.Hasher, "run", one_bucket)
+    monkeypatch.setattr(T.Hasher, "bands", one_bucket)
     rows = crowded()
     assert not any(T.aligned(r[1], rows[0][1]) for r in rows)
     out = T.judge(spark.createDataFrame([*rows, (99, rows[-1][1], "s")], "doc_id long, text string, source string").repartition(3)).collect()
