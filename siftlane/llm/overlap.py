@@ -15,15 +15,15 @@ pair of a set with itself.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import settle
 
 #: Sets of an item that one row pairs with as many others.
 BLOCK = 64
+#: Batches in which the steps of a history are applied.
+BATCHES = 3
 
 
 def _sets(condition: Column) -> Column:
@@ -94,33 +94,69 @@ def apply_changes(members: DataFrame, counts: DataFrame | None, changes: DataFra
     return members_after(moved), add_deltas(counts, deltas_of(moved))
 
 
-def replay(stated: DataFrame, leaves: bool) -> Iterator[tuple[int, DataFrame]]:
-    """``(step, deltas)`` of each step of ``stated`` (``item, set, step``; each step states memberships), in order.
+def _stated(stated: DataFrame) -> DataFrame:
+    return stated.filter("item IS NOT NULL AND set IS NOT NULL AND step IS NOT NULL").select("item", "set", "step").distinct()
 
-    With ``leaves`` a membership that a step doesn't state has ended; else it stays, so
-    the state is what was stated in any step. The state of one step is written before
-    the next reads it. Steps are few: they are looped over.
-    """
-    known = settle(stated.filter("item IS NOT NULL AND set IS NOT NULL AND step IS NOT NULL").select("item", "set", "step").distinct())
-    members = empty_members(known)
-    for row in known.select("step").distinct().orderBy("step").collect():  # one row per run
-        now = known.filter(F.col("step") == row["step"])
-        moved = settle(moves_to(members, now) if leaves else moves(members, now.withColumn("joins", F.lit(True))))
-        members = members_after(moved)
-        yield row["step"], deltas_of(moved)
 
+def maintained(stated: DataFrame, leaves: bool, batches: int = BATCHES) -> DataFrame:
+    """Pair counts ``a, b, n`` after all steps of ``stated`` (``item, set, step``; each step states memberships), kept up to date batch by batch.
 
-def maintained(stated: DataFrame, leaves: bool) -> DataFrame:
-    """Pair counts ``a, b, n`` after all steps of ``stated``, kept up to date step by step."""
-    counts = None
-    for _, deltas in replay(stated, leaves):
-        counts = settle(add_deltas(counts, deltas))
-    if counts is None:
+    With ``leaves`` a membership that a step doesn't state has ended; else it stays, so the
+    state is what was stated in any step. Steps are applied in order, in ``batches`` of
+    about as many; what a batch changes on the whole meets the state that the last one
+    left. So each batch touches the items that change, and writes the state once.
+    """
+    known = _stated(stated)
+    steps = [r["step"] for r in known.select("step").distinct().orderBy("step").collect()]  # one row per run
+    if not steps:
         kind = stated.schema["set"].dataType.simpleString()
         return stated.sparkSession.createDataFrame([], f"a {kind}, b {kind}, n bigint")
+    members, counts = empty_members(known), None
+    size = -(-len(steps) // batches)
+    for low in range(0, len(steps), size):
+        part = steps[low : low + size]
+        if leaves:
+            moved = moves_to(members, known.filter(F.col("step") == part[-1]))
+        else:
+            new = known.filter(F.col("step").between(part[0], part[-1])).select("item", "set").distinct()
+            moved = moves(members, new.withColumn("joins", F.lit(True)))
+        moved = settle(moved)
+        members = members_after(moved)
+        counts = settle(add_deltas(counts, deltas_of(moved)))
+    assert counts is not None
     return counts
 
 
+def deltas_by_step(stated: DataFrame) -> DataFrame:
+    """``step, a, b, delta`` (``a <= b``): what each step of ``stated`` changes, with leaves, for all steps at once.
+
+    A membership lasts from the step that first states it to the one that no longer does. Each
+    meets the item's others: where both begin to last, the pair gains one, and where
+    one of them ends, it loses one. The row of an item holds its memberships, at most one
+    for each set and step; items in many sets are paired block by block.
+    """
+    known = _stated(stated)
+    order = Window.orderBy("step")  # one row per run
+    steps = settle(known.select("step").distinct().select("step", F.row_number().over(order).alias("k")))
+    held = known.join(F.broadcast(steps), "step").groupBy("item", "set").agg(F.array_sort(F.collect_set("k")).alias("k"))
+    begins = F.filter("k", lambda x: ~F.array_contains("k", x - 1))
+    ends = F.transform(F.filter("k", lambda x: ~F.array_contains("k", x + 1)), lambda x: x + 1)
+    lasting = held.select("item", "set", F.explode(F.arrays_zip(begins.alias("first"), ends.alias("until"))).alias("t")).select("item", F.struct("set", "t.first", "t.until").alias("m"))
+    patterns = lasting.groupBy("item").agg(F.array_sort(F.collect_list("m")).alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("n"))
+    firsts = lambda rows: rows.select("m", "n", F.posexplode(F.expr(_blocks("m"))).alias("i", "x"))
+    rows = firsts(patterns.filter(f"size(m) <= {BLOCK}")).unionByName(firsts(patterns.filter(f"size(m) > {BLOCK}")).repartition(F.xxhash64("x")))
+    later = _blocks(f"slice(m, i * {BLOCK} + 1, size(m))")
+    blocks = rows.select("n", "x", F.posexplode(F.expr(later)).alias("j", "y"))
+    pair = "struct(a.set AS a, b.set AS b, greatest(a.first, b.first) AS gains, least(a.until, b.until) AS loses)"
+    pairs = f"IF(j = 0, flatten(transform(x, (a, i) -> transform(slice(x, i + 1, size(x)), b -> {pair}))), flatten(transform(x, a -> transform(y, b -> {pair}))))"
+    # two stays of one set aren't a pair: they never overlap
+    met = blocks.select("n", F.explode(F.expr(pairs)).alias("p")).filter("p.gains < p.loses")
+    signed = met.select("p.a", "p.b", F.inline(F.array(F.struct(F.col("p.gains").alias("k"), F.col("n").alias("d")), F.struct(F.col("p.loses").alias("k"), (-F.col("n")).alias("d")))))
+    # what ends behind the last step doesn't end
+    summed = signed.groupBy("k", "a", "b").agg(F.sum("d").alias("delta")).filter("delta <> 0")
+    return summed.join(F.broadcast(steps), "k").select("step", "a", "b", "delta")
+
+
 def similar_pairs(counts: DataFrame, per_cent: int) -> DataFrame:
     """Pairs ``a < b`` of ``a, b, n`` whose shared items are at least ``per_cent`` of those in either: ``a, b, shared, size_a, size_b``."""
     size = counts.filter("a = b")

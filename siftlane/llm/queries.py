@@ -60,11 +60,8 @@ def p5_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each run changes in the number of shared rules."""
-    every = [deltas.filter("a < b").select(F.lit(step).cast("int").alias("run_id"), F.col("a").alias("name_a"), F.col("b").alias("name_b"), "delta") for step, deltas in overlap.replay(_stated(spark, sf_dir), leaves=True)]
-    out = spark.createDataFrame([], "run_id int, name_a string, name_b string, delta bigint")
-    for deltas in every:
-        out = out.unionByName(deltas)
-    return out
+    deltas = overlap.deltas_by_step(_stated(spark, sf_dir))
+    return deltas.filter("a < b").select(F.col("step").alias("run_id"), F.col("a").alias("name_a"), F.col("b").alias("name_b"), "delta")
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,11 +37,14 @@ def test_steps_with_and_without_leaves(spark):
     assert read(O.maintained(df, leaves=False)) == dict(pairs({(i, s) for i, s, _ in rows}))
     assert read(O.maintained(df, leaves=True)) == dict(pairs({(i, s) for i, s, t in rows if t == 5}))
     total = Counter()
-    for step, deltas in O.replay(df, leaves=True):
-        for r in deltas.collect():
-            total[r["a"], r["b"]] += r["delta"]
+    deltas = O.deltas_by_step(df).collect()
+    for step in (1, 2, 5):
+        for r in deltas:
+            if r["step"] == step:
+                total[r["a"], r["b"]] += r["delta"]
         assert {k: n for k, n in total.items() if n} == dict(pairs({(i, s) for i, s, t in rows if t == step}))
-    assert O.maintained(df.limit(0), leaves=True).count() == 0
+    assert len(deltas) == len({(r["step"], r["a"], r["b"]) for r in deltas}) and all(r["delta"] for r in deltas)
+    assert O.maintained(df.limit(0), leaves=True).count() == 0 and O.deltas_by_step(df.limit(0)).count() == 0
 
 
 def test_an_item_in_very_many_sets(spark):
