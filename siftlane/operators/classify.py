@@ -124,6 +124,25 @@ def classify(df: DataFrame, suffixes: DataFrame | None, by_domain: DataFrame, pr
     )
 
 
+#: Share of its confidence that a category keeps when it comes from a name the domain points to.
+BY_HINT = 0.8
+
+
+def with_hints(classified: DataFrame, hints: DataFrame, suffixes: DataFrame | None, by_domain: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Domains without a category take that of the first name they point to that has one.
+
+    ``hints``: ``domain, hint, position``. Categories that are there already stay; hints of
+    other domains, null hints and hints without a category don't count.
+    """
+    given = hints.select("domain", F.lower("hint").alias("_hint"), "position").filter("domain IS NOT NULL AND _hint IS NOT NULL")
+    known = classify(given, suffixes, by_domain, prefixes, "_hint").filter((F.col("category") != "other") & (F.col("confidence") >= BY_PREFIX))
+    first = given.join(known.select("_hint", F.col("category").alias("_c"), F.col("confidence").alias("_f")), "_hint").groupBy("domain").agg(F.min(F.struct("position", "_hint", "_c", "_f")).alias("_h"))
+    joined = classified.join(first, "domain", "left")
+    use = (F.col("matched_by") == "none") & F.col("_h").isNotNull()
+    changed = {"category": F.when(use, F.col("_h._c")).otherwise(F.col("category")), "confidence": F.when(use, F.col("_h._f") * BY_HINT).otherwise(F.col("confidence")), "matched_by": F.when(use, "cname").otherwise(F.col("matched_by"))}
+    return joined.withColumns(changed).drop("_h")
+
+
 def counts_with_zero(classified: DataFrame) -> DataFrame:
     """``category, domains`` for every category, also those without a domain."""
     spark = classified.sparkSession

@@ -372,11 +372,12 @@ class Compiled:
         if not self._o.folding:
             return None
         voided = cancelled(self.deduped.select(*RULE)) if self._o.fold.promotion_threshold else None
-        return fold(self._blocks, self.allows, self._o.fold, voided, self._suffixes, self._o.cascade)
+        found = fold(self._blocks, self.allows, self._o.fold, voided, self._suffixes, self._o.cascade)
+        return Folded(settle(found.marked)) if self._o.provenance else found  # provenance reads them several times
 
     def keep(self) -> Compiled:
         """Writes the marked block rules once; before any stage behind them is asked for."""
-        if self.folded is not None:
+        if self.folded is not None and not self._o.provenance:
             self.folded = Folded(settle(self.folded.marked))
         return self
 

@@ -61,14 +61,21 @@ def write_tiers(frame: DataFrame, path: str) -> None:
 
 
 def content_version(blocks: DataFrame, allows: DataFrame) -> str:
-    """The first twelve hexadecimal digits of SHA-256 over all lines in order."""
+    """The first twelve hexadecimal digits of SHA-256 over all lines in order, from one sort."""
     digest = hashlib.sha256()
-    for frame in (lines("block", blocks, allows), lines("allow", blocks, allows)):
-        for text in _ordered_lines(frame):
-            digest.update(text.encode() + b"\n")
+    for text in _ordered_lines(numbered(blocks.unionByName(allows))):
+        digest.update(text.encode() + b"\n")
     return digest.hexdigest()[:12]
 
 
+def write_json(document: object, path: str) -> None:
+    target = Path(path)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    beside = target.with_suffix(target.suffix + ".tmp")
+    beside.write_text(json.dumps(document, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
+    beside.replace(target)
+
+
 def numbered(rules: DataFrame) -> DataFrame:
     """``rule_type, category, domain, bare, line`` of a final rule set in its total order; ``bare`` tells whether formats of bare domains take the rule."""
     text = D.output_text(F.col("rule_type"), F.col("domain"), F.col("wildcard"), F.col("modifiers"), F.col("raw"))
@@ -147,14 +154,6 @@ def write_graded(records: DataFrame, out: str, by_rating: bool = True, by_catego
     return {name: f.lines for name, f in files.items()}
 
 
-def write_json(document: object, path: str) -> None:
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    beside = target.with_suffix(target.suffix + ".tmp")
-    beside.write_text(json.dumps(document, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
-    beside.replace(target)
-
-
 def write_json_rows(frame: DataFrame, path: str, first: int = 0, change: Callable[[dict[str, object]], dict[str, object]] = lambda r: r) -> list[dict[str, object]]:
     """All rows in order as one JSON array, one partition at a time on the driver. Gives the ``first`` rows."""
     target = Path(path)

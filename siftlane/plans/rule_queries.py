@@ -396,6 +396,17 @@ def domain_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, _all_domains(spark, sf_dir)).drop("registered")
 
 
+@query
+def hinted_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories of domains that point to other names."""
+    classified = _classified(spark, _all_domains(spark, sf_dir))
+    n = F.length("domain")
+    hint = F.when(n % 4 == 0, "CDN.edge.example.com").when(n % 4 == 1, "plain.example.com").when(n % 4 == 2, "x.promo.click")
+    hints = classified.select("domain", F.explode(F.array(F.struct(F.lit(2).alias("position"), F.lit("ads.late.example.com").alias("hint")), F.struct(F.lit(1).alias("position"), hint.alias("hint")))).alias("x")).select("domain", "x.hint", "x.position")
+    known = spark.createDataFrame(KNOWN_DOMAINS, "pattern string, category string, position int")
+    return C.with_hints(classified, hints, None, known, C.prefix_table(spark)).select("domain", "category", F.round("confidence", 4).alias("confidence"), "matched_by")
+
+
 @query
 def category_counts_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.counts_with_zero(_classified(spark, _all_domains(spark, sf_dir)))

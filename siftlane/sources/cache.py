@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import settle
+
 
 def error_kind(message: Column) -> Column:
     """timeout, not_found, auth, dns, network or unknown, by what an error says; the first that holds."""
@@ -32,16 +34,17 @@ def latest(entries: DataFrame) -> DataFrame:
 def evicted(entries: DataFrame, max_bytes: int) -> DataFrame:
     """Entries to evict, oldest first, until the rest fits ``max_bytes``; ``content_kept`` if a remaining entry has the same content.
 
-    The running sum is built from sums per hour and sums within an hour, so no task
-    sees more than one hour's entries and the list of hours.
+    Entries are dealt by ranges of their time and address. The running sum is built from the
+    sums of the ranges before and a sum within each range, so no task sees more than
+    its range, whatever time most entries share. Without a time, an entry is the oldest.
     """
-    size = F.coalesce("size_bytes", F.lit(0))
-    dated = entries.withColumn("_size", size).withColumn("_hour", F.date_trunc("hour", F.coalesce("fetched_at", F.lit("1970-01-01").cast("timestamp"))))
-    hours = dated.groupBy("_hour").agg(F.sum("_size").alias("_sum"))
-    newer = hours.select("_hour", F.coalesce(F.sum("_sum").over(Window.orderBy(F.desc("_hour")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_newer"))
-    within = F.sum("_size").over(Window.partitionBy("_hour").orderBy(F.desc("fetched_at"), "url").rowsBetween(Window.unboundedPreceding, 0))
-    summed = dated.withColumn("_within", within).join(newer, "_hour").withColumn("_out", F.col("_within") + F.col("_newer") > max_bytes)
-    kept = summed.filter("NOT _out").select("content_hash", F.lit(True).alias("_kept")).distinct()
+    order = [F.col("fetched_at").desc_nulls_last(), F.col("url").asc_nulls_last()]
+    ranged = settle(entries.withColumn("_size", F.coalesce("size_bytes", F.lit(0))).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    ranges = ranged.groupBy("_range").agg(F.sum("_size").alias("_sum"))  # one row per task
+    newer = ranges.select("_range", F.coalesce(F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_newer"))
+    within = F.sum("_size").over(Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    summed = ranged.withColumn("_within", within).join(newer, "_range").withColumn("_out", F.col("_within") + F.col("_newer") > max_bytes)
+    kept = summed.filter("NOT _out AND content_hash IS NOT NULL").select("content_hash", F.lit(True).alias("_kept")).distinct()
     gone = summed.filter("_out").join(kept, "content_hash", "left")
     return gone.withColumn("content_kept", F.coalesce("_kept", F.lit(False))).select(*entries.columns, "content_kept")
 

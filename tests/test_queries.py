@@ -10,7 +10,7 @@ import pytest
 
 from siftlane import queries
 
-SOME = ["parse_rules", "dedup_rules", "fold_exact", "conflicts_all", "compiled_rules", "fold_provenance", "contributions", "overlap_pairs", "audit_fused", "cache_eviction", "export_hosts", "p1_found", "p3_found", "p3_loaded"]
+SOME = ["parse_rules", "dedup_rules", "fold_exact", "conflicts_all", "compiled_rules", "fold_provenance", "contributions", "overlap_pairs", "audit_fused", "cache_eviction", "export_hosts", "promote_pattern", "promote_guarded", "overlap_rates", "rdap_fields", "audit_records", "hinted_categories", "sidecar_rules", "feed_hosts", "p1_found", "p3_found", "p3_loaded"]
 
 
 def test_names_match():
