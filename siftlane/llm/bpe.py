@@ -169,14 +169,15 @@ class Encoder:
         return np.concatenate([self._unit(u) if len(u) < 200 else np.array(self.text(u), np.int32) for u in units])
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of bounded text."""
+def steps(batches: Iterator[pa.RecordBatch], column: str, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``most`` bytes of text (``STEP_BYTES`` if not given), or of one row."""
+    most = most or STEP_BYTES
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
         total, low = np.cumsum(size), 0
         while low < batch.num_rows:
             done = total[low - 1] if low else 0
-            high = max(low + 1, int(np.searchsorted(total, done + STEP_BYTES, "right")))
+            high = max(low + 1, int(np.searchsorted(total, done + most, "right")))
             yield batch.slice(low, high - low)
             low = high
 

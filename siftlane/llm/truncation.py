@@ -52,6 +52,8 @@ BANDS, ROWS = 6, 3
 LEVELS = [10 * 3**k for k in range(12)]
 #: Characters, besides those of the last unit, that tell one context from another.
 CONTEXT_CHARS = 240
+#: Bytes of text in which units are hashed at once; their arrays fit a core's cache.
+UNIT_STEP = 1 << 18
 #: A formula closes at least so many documents, each behind another text.
 FORMULA_LEAST = 3
 #: Share of a formula's occurrences behind which text or line ends.
@@ -330,7 +332,7 @@ def formulas(docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         beginnings, mask = Beginnings(), np.uint64(len(sent.value) * 64 - 1)
         keys, closes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", UNIT_STEP):
             texts = _in_units(pc.drop_null(batch.column(0))).to_pylist()
             codes = np.frombuffer(("\n" + "\n".join(t.strip() for t in texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
             line, mark = codes == ord("\n"), codes == ord(_MARK)
