@@ -17,11 +17,11 @@ def one(spark, column):
     ("name", "ip", "labels", "bad"),
     [
         ("SpamhausDBL", "127.0.0.11", ["phishing"], True),
-        ("SpamhausDBL", "127.0.0.10", ["spam"], False),
+        ("SpamhausDBL", "127.0.0.15", ["hijacked"], False),
         ("SpamhausDBL", "127.0.0.99", ["code-99"], False),
-        ("SURBL", "127.0.0.48", ["phishing", "malware"], True),
+        ("SURBL", "127.0.0.36", ["scam", "malware"], True),
         ("SURBL", "127.0.0.8", ["junk"], False),
-        ("SURBL", "8.8.8.8", [], False),
+        ("SURBL", "198.51.100.7", [], False),
         ("SpamhausDBL", "127.255.255.254", [], False),
     ],
 )
@@ -36,7 +36,7 @@ def test_scam(spark, label, score, want):
     assert (one(spark, s), one(spark, c)) == want
 
 
-@pytest.mark.parametrize(("ip", "private"), [("10.1.2.3", True), ("172.16.0.1", True), ("172.32.0.1", False), ("192.168.1.1", True), ("127.0.0.1", True), ("169.254.1.1", True), ("0.0.0.0", True), ("8.8.8.8", False), ("::1", True), ("fc00::1", True), ("fe80::1", True), ("2001:db8::1", False), ("no", False), (None, False)])
+@pytest.mark.parametrize(("ip", "private"), [("10.44.0.9", True), ("172.20.8.8", True), ("172.40.1.1", False), ("192.168.77.5", True), ("127.3.2.1", True), ("169.254.9.9", True), ("0.0.0.0", True), ("198.51.100.7", False), ("::1", True), ("fd12:3::4", True), ("fe80::1", True), ("2001:db8::1", False), ("no", False), (None, False)])
 def test_private(spark, ip, private):
     assert one(spark, A.is_private_ip(F.lit(ip).cast("string"))) is private
 
@@ -53,6 +53,11 @@ def test_rdap(spark):
     got = one(spark, A.rdap(F.lit(reply), now))
     assert got["domain_age_days"] == 4 and got["registrar"] == "R1"
     assert one(spark, A.rdap(F.lit("{}"), now))["domain_age_days"] is None
+    assert one(spark, A.rdap(F.lit(None).cast("string"), now))["error"] == "empty response"
+    twice = '{"events":[{"eventAction":"registration","eventDate":"2001-01-01T00:00:00Z"},{"eventAction":"registration","eventDate":"2024-01-05T00:00:00Z"},{"eventAction":"expiration","eventDate":"2030-01-01T00:00:00Z"}],"entities":[{"roles":["registrar"],"handle":"R2","vcardArray":["vcard",[["version",{},"text","4.0"],["fn",{},"text","Name Inc"]]]}]}'
+    got = one(spark, A.rdap(F.lit(twice), now))
+    assert got["domain_age_days"] == 1 and got["is_new"] and got["registrar"] == "Name Inc" and got["expires_at"].year == 2030 and got["error"] is None
+    assert one(spark, A.rdap(F.lit('{"errorCode":404,"title":"gone"}'), now))["error"] == "RDAP error: gone"
 
 
 def test_fusion(spark):
@@ -126,3 +131,29 @@ def test_virustotal_and_cache(spark):
     cache = spark.createDataFrame([("a.com", "f", datetime(2024, 1, 2)), ("a.com", "f", datetime(2024, 1, 2, 1)), ("b.com", "f", datetime(2024, 1, 1)), ("c.com", "g", datetime(2024, 1, 2))], "domain string, fingerprint string, stored_at timestamp")
     live = A.live_cache(cache, "f", F.lit("2024-01-02 12:00:00").cast("timestamp"))
     assert [(r["domain"], r["stored_at"].hour) for r in live.collect()] == [("a.com", 1)]
+
+
+def test_failed_domains_nulls_and_clashing_columns(spark):
+    d = spark.createDataFrame([("a.com", "x"), ("b.com", "x"), (None, "x"), ("", "x"), ("a.com", "y")], "domain string, rating string")
+    signals = {
+        "feed": spark.createDataFrame([("a.com", "URLhaus", 1), ("b.com", None, 1), (None, "URLhaus", 1)], "domain string, source string, nxdomain int"),
+        "failed": spark.createDataFrame([("a.com", None)], "domain string, error string"),
+        "dns": spark.createDataFrame([("b.com", None, None, None)], "domain string, nxdomain boolean, ips array<string>, error string"),
+    }
+    got = {r["domain"]: r for r in A.fuse(d, signals).collect()}
+    assert set(got) == {"a.com", "b.com"} and got["a.com"]["rating"] == "unknown" and got["a.com"]["failed"] and not got["a.com"]["urlhaus_malicious"]
+    assert got["b.com"]["rating"] == "safe" and got["b.com"]["dns_ips"] == []
+    assert A.fuse(d.limit(0), signals).count() == 0
+
+
+def test_fingerprint():
+    base = A.AuditOptions()
+    others = [A.AuditOptions(off=("dns",)), A.AuditOptions(weights=A.WEIGHTS | {"heuristics": 11}), A.AuditOptions(new_domain_days=31), A.AuditOptions(cache_ttl_seconds=1)]
+    assert base.fingerprint() == A.AuditOptions().fingerprint() and len({o.fingerprint() for o in [base, *others]}) == 5
+
+
+def test_classifier_replies(spark):
+    known = spark.createDataFrame([("a.com", "other", 0.0, "none"), ("b.com", "cdn", 0.9, "registered"), ("c.com", "other", 0.0, "none"), ("d.com", "other", 0.0, "none")], "domain string, category string, confidence double, matched_by string")
+    replies = spark.createDataFrame([("a.com", "social", 2.0), ("a.com", "social", 2.0), ("b.com", "social", 1.0), ("c.com", "no such", 1.0), ("d.com", "cdn", None)], "domain string, ai_category string, ai_confidence double")
+    got = {r["domain"]: (r["category"], r["confidence"], r["ai_classified"]) for r in A.with_ai(known, replies, A.AuditOptions(ai_max_domains=2)).collect()}
+    assert got == {"a.com": ("social", 0.7, True), "b.com": ("cdn", 0.9, False), "c.com": ("other", 0.0, False), "d.com": ("other", 0.0, False)}
