@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import domains as D
+from ..runtime import settle
 
 #: First labels that tell a category, first-listed category first.
 PREFIXES = {
@@ -107,7 +108,7 @@ def classify(df: DataFrame, suffixes: DataFrame | None, by_domain: DataFrame, pr
     doubles. Else the first label in front of the registered domain does. The tables
     are parameters; their sizes are Spark's to judge.
     """
-    known = registered(df, suffixes, column)
+    known = settle(registered(df, suffixes, column))  # read twice
     listed = by_domain.groupBy("pattern").agg(F.min_by("category", "position").alias("listed"))
     roots = known.select("registered").distinct()
     up = roots.select("registered", F.posexplode(F.concat(F.array("registered"), D.ancestors(F.col("registered"), 1))).alias("depth", "pattern"))
